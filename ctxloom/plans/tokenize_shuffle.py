@@ -120,13 +120,15 @@ def tokenize_shuffle(
     output_json: str | None = None,
     work: str | None = None,
     rows_per_block: int | None = None,
+    name_of: Callable[[Column], Column] | None = None,
 ) -> JobResult:
     """JSON-lines corpora to shuffled shard tars, manifest and card.
 
     ``encoder`` is a vocabulary, or a column function from text to ids. ``rows_per_block`` spreads
     each file's lines over tasks before encoding, at the price of one shuffle of the text; it is for
     corpora of few, large compressed files. ``work`` takes the stored intermediates; by default it is
-    a fresh path in the shared folder. It can be dropped once the job is done.
+    a fresh path in the shared folder. It can be dropped once the job is done. Streams are named by
+    their file relative to its input; ``name_of`` (path to name, one to one) names them otherwise.
     """
     check_positive(seqlen=seqlen, chunk_size=chunk_size, n_cells=n_cells)
     backend = backend or (encoder.backend if isinstance(encoder, Vocab) else "hf")
@@ -135,13 +137,14 @@ def tokenize_shuffle(
     work = (work or scratch_path(spark, "tokenize")).rstrip("/")
 
     docs, seen = _documents(spark, inputs, ext, on_bad_record)
-    docs = docs.withColumn("file", relative_name("file", roots))
+    name = name_of(F.col("file")) if name_of else relative_name("file", roots)
+    docs = docs.withColumn("file", name)
     if rows_per_block:
         docs = arrange_blocks(docs, rows_per_block)
     streams = encode_stage(docs, encoder, rules, seqlen, f"{work}/streams")
     totals = _stored(block_totals(streams), f"{work}/totals")
 
-    files = list_corpus(spark, inputs, ext).select(relative_name("file", roots).alias("file"))
+    files = list_corpus(spark, inputs, ext).select(name.alias("file"))
     by_file = totals.groupBy("file").agg(F.sum("docs").alias("docs"), F.sum("total").alias("total"))
     by_file = files.join(by_file, "file", "left").select(
         "file", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("docs", "total")]

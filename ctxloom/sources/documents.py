@@ -94,6 +94,6 @@ def read_documents(
     checked = check_records(read_lines(spark, paths, ext))
     if on_bad_record == "drop":
         return checked.filter(F.col("reason").isNull()).select("file", "block", "ord", "text")
-    complaint = F.concat_ws(" ", F.lit("bad record in"), "file", F.lit(": "), "reason")
+    complaint = F.concat(F.lit("bad record in "), "file", F.lit(": "), "reason")
     text = F.when(F.col("reason").isNull(), F.col("text")).otherwise(F.raise_error(complaint).cast("string"))
     return checked.select("file", "block", "ord", text.alias("text"))

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from ctxloom.runtime import parallelism, ship_package
@@ -115,7 +116,7 @@ def read_shards(spark: SparkSession, paths: list[str] | str, ext: str = TAR_SUFF
     return whole.mapInArrow(_read_members, MEMBER_SCHEMA)
 
 
-@arrow_udf("string")
+@arrow_udf(T.StringType())
 def _inflate(payloads: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in payloads:
         yield pa.array([zlib.decompress(p, 31).decode() for p in batch.to_pylist()], pa.string())
