@@ -91,7 +91,7 @@ def _token_md5(tokens: str = "tokens") -> Column:
 
 
 def _hashed(contexts: DataFrame) -> DataFrame:
-    return contexts.select("file", "ctx", "n_real", _token_md5().alias("tokens_md5"))
+    return contexts.select("file", "ctx", F.col("n_real").cast("bigint"), _token_md5().alias("tokens_md5"))
 
 
 def _file_number() -> Column:
