@@ -35,7 +35,7 @@ from ctxloom.operators.streams import arrange_blocks, block_streams, block_total
 from ctxloom.plans.shuffle_only import shuffle_shards  # noqa: E402
 from ctxloom.plans.summary import run_summary  # noqa: E402
 from ctxloom.plans.tokenize_shuffle import encode_stage, shard_pieces, tokenize_shuffle  # noqa: E402
-from ctxloom.runtime import scratch_path  # noqa: E402
+from ctxloom.runtime import scratch_path, spread_small  # noqa: E402
 from ctxloom.sources.documents import check_records, read_documents, read_lines  # noqa: E402
 from ctxloom.sources.listing import dataset_size, list_corpus  # noqa: E402
 from ctxloom.sources.manifest import manifest_rows, manifest_tokens, read_manifest  # noqa: E402
@@ -58,7 +58,7 @@ RULES = preset(NEOX, "hf")
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
     table = spark.read.parquet(f"{sf}/documents.parquet").filter("text is not null")
-    return table.select(F.col("source").alias("file"), F.col("doc_id").alias("ord"), "text")
+    return spread_small(table.select(F.col("source").alias("file"), F.col("doc_id").alias("ord"), "text"))
 
 
 def _lengths(spark: SparkSession, sf: str) -> DataFrame:

@@ -14,23 +14,32 @@ from ctxloom.runtime import parallelism
 _CTX_STRIDE = 65536
 
 
-def bucketed_rank(df: DataFrame, out: str, within: tuple[str, ...] = (), ties: tuple[str, ...] = ()) -> DataFrame:
+def bucket_bases(df: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
+    """(within, bucket, base): rows in the buckets before, from rows with a ``key``.
+
+    The window sees bucket sizes, at most 65,536 rows per group.
+    """
+    sizes = df.groupBy(*within, bucket_expr().alias("bucket")).agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.partitionBy(*within).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select(*within, "bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("base"))
+
+
+def bucketed_rank(
+    df: DataFrame, out: str, within: tuple[str, ...] = (), ties: tuple[str, ...] = (), bases: DataFrame | None = None
+) -> DataFrame:
     """Dense rank from 0 in ``key`` order, over everything or per ``within`` group.
 
     Rows are ranked inside key-prefix buckets; bucket sizes give each bucket's base. The buckets are
     uniform because the key is a hash, so neither the whole data nor a hot group meets in one task.
-    The window over bucket sizes sees at most 65,536 rows per group.
     """
-    df = df.withColumn("_bucket", bucket_expr())
-    sizes = df.groupBy(*within, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.partitionBy(*within).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.select(*within, "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"))
-    inside = Window.partitionBy(*within, "_bucket").orderBy("key", *ties)
+    bases = bucket_bases(df, within) if bases is None else bases
+    inside = Window.partitionBy(*within, "bucket").orderBy("key", *ties)
     return (
-        df.withColumn("_row", F.row_number().over(inside))
-        .join(bases, [*within, "_bucket"])
-        .withColumn(out, (F.col("_base") + F.col("_row") - 1).cast("bigint"))
-        .drop("_bucket", "_row", "_base")
+        df.withColumn("bucket", bucket_expr())
+        .withColumn("_row", F.row_number().over(inside))
+        .join(bases, [*within, "bucket"])
+        .withColumn(out, (F.col("base") + F.col("_row") - 1).cast("bigint"))
+        .drop("bucket", "_row", "base")
     )
 
 
@@ -71,12 +80,10 @@ def shard_lookup(counts: DataFrame, seed: int, chunk_size: int) -> DataFrame:
     """
     check_positive(chunk_size=chunk_size)
     keys = enumerate_contexts(counts).select(key_expr(seed, "file", "ctx").alias("key"))
-    sizes = keys.groupBy(bucket_expr().alias("bucket")).agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.select("bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"))
-    first = int_div(F.col("_base") + chunk_size - 1, chunk_size)
+    bases = bucket_bases(keys)
+    first = int_div(F.col("base") + chunk_size - 1, chunk_size)
     borders = (
-        bucketed_rank(keys, "rank")
+        bucketed_rank(keys, "rank", bases=bases)
         .filter(F.pmod("rank", F.lit(chunk_size)) == 0)
         .groupBy(bucket_expr().alias("bucket"))
         .agg(F.array_sort(F.collect_list("key")).alias("bounds"))

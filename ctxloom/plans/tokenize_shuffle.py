@@ -24,8 +24,8 @@ from ctxloom.plans.card import finalize_card
 from ctxloom.plans.summary import run_summary
 from ctxloom.runtime import scratch_path
 from ctxloom.sinks.shard_tar import write_shards
-from ctxloom.sources.documents import check_records, read_documents, read_lines
-from ctxloom.sources.listing import list_corpus, resolve_inputs
+from ctxloom.sources.documents import check_records, documents_of, read_lines
+from ctxloom.sources.listing import resolve_inputs, scanned_files
 from ctxloom.sources.manifest import read_manifest
 from ctxloom.sources.paths import relative_name
 
@@ -44,19 +44,6 @@ class JobResult:
     work: str = ""
 
 
-def _documents(
-    spark: SparkSession, inputs: list[str] | str, ext: str | None, on_bad_record: str
-) -> tuple[DataFrame, Observation | None]:
-    """Documents of the inputs; in drop mode rejects are counted in the same pass."""
-    if on_bad_record != "drop":
-        return read_documents(spark, inputs, ext, on_bad_record), None
-    seen = Observation()
-    checked = check_records(read_lines(spark, inputs, ext)).observe(
-        seen, F.count_if(F.col("reason").isNotNull()).alias("rejects")
-    )
-    return checked.filter(F.col("reason").isNull()).select("file", "block", "ord", "text"), seen
-
-
 def encode_stage(
     docs: DataFrame, encoder: Vocab | Callable[[Column], Column], rules: Preset, seqlen: int, path: str
 ) -> DataFrame:
@@ -136,7 +123,11 @@ def tokenize_shuffle(
     roots = resolve_inputs(spark, inputs, ext).roots
     work = (work or scratch_path(spark, "tokenize")).rstrip("/")
 
-    docs, seen = _documents(spark, inputs, ext, on_bad_record)
+    lines = read_lines(spark, inputs, ext)
+    # Rejects are counted in the pass that encodes.
+    seen = Observation()
+    checked = check_records(lines).observe(seen, F.count_if(F.col("reason").isNotNull()).alias("rejects"))
+    docs = documents_of(checked, on_bad_record)
     name = name_of(F.col("file")) if name_of else relative_name("file", roots)
     docs = docs.withColumn("file", name)
     if rows_per_block:
@@ -144,7 +135,7 @@ def tokenize_shuffle(
     streams = encode_stage(docs, encoder, rules, seqlen, f"{work}/streams")
     totals = _stored(block_totals(streams), f"{work}/totals")
 
-    files = list_corpus(spark, inputs, ext).select(name.alias("file"))
+    files = scanned_files(lines).select(name.alias("file"))
     by_file = totals.groupBy("file").agg(F.sum("docs").alias("docs"), F.sum("total").alias("total"))
     by_file = files.join(by_file, "file", "left").select(
         "file", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("docs", "total")]
@@ -156,7 +147,7 @@ def tokenize_shuffle(
     contexts = per_file.agg(F.coalesce(F.sum("contexts"), F.lit(0))).first()[0]
     write_shards(ready, output, order, shards=-(-contexts // chunk_size), seqlen=seqlen)
     result = _finish(spark, output, per_file, chunk_size, seqlen, tokenizer, input_json, output_json)
-    result.rejects = seen.get["rejects"] if seen else 0
+    result.rejects = seen.get["rejects"]
     result.work = work
     return result
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 _local_dirs: dict[str, str] = {}
+_SPLIT_BYTES = 128 << 20
 
 
 def build_session(app: str = "ctxloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -78,6 +79,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Deal the rows of a small table out to all cores; leave anything larger where it lies.
+
+    A table of less than a split per core may sit in a single row group, hence in one task, while
+    encoding it is CPU work. The plan's own size estimate decides, so nothing runs to find out, and
+    a large table is never shuffled here.
+    """
+    spark = df.sparkSession
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    cores = spark.sparkContext.defaultParallelism
+    if size >= cores * _SPLIT_BYTES:
+        return df
+    return df.repartition(cores)
+
+
 def parallelism(spark: SparkSession) -> int:
     """Partition count for rows that are tiny now but fan out in the next step.
 

@@ -9,6 +9,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +33,10 @@ class ShardCounts(WriterCommitMessage):
     counts: bytes
 
 
-def gzip_json(tokens: np.ndarray) -> bytes:
+def gzip_json(parts: list[str]) -> bytes:
     """Payload of a context: gzip of a JSON array, with no timestamp so reruns give the same bytes."""
     packer = zlib.compressobj(6, zlib.DEFLATED, 31)
-    text = "[" + ",".join(map(str, tokens.tolist())) + "]"
-    return packer.compress(text.encode()) + packer.flush()
+    return packer.compress(f"[{','.join(parts)}]".encode()) + packer.flush()
 
 
 class _OpenShard:
@@ -69,42 +69,33 @@ class _OpenShard:
 class ShardTarWriter(DataSourceArrowWriter):
     """Takes rows sorted by shard and member order, each shard in one task.
 
-    Columns: ``shard``, ``name`` and either ``payload`` (one row per member) or ``tokens`` (rows in
-    turn with one name are pieces of one context). A task attempt that is run twice writes the same
+    Columns: ``shard``, ``name`` and either ``payload`` (one row per member) or ``ids`` and ``n``:
+    comma-separated ids and their number, where rows in turn with one name are pieces of a context. A task attempt that is run twice writes the same
     bytes under the same names, so retries and speculation are harmless. The manifest is the mark of
     a complete output.
     """
 
     def __init__(self, folder: str, fields: list[str], seqlen: int | None):
         self.folder, self.seqlen = folder, seqlen
-        self.tokens = "tokens" in fields
-        if not {"shard", "name"} <= set(fields) or not (self.tokens or "payload" in fields):
-            raise ValueError("shardtar needs the columns shard, name and payload or tokens")
+        self.pieces = "ids" in fields
+        if not {"shard", "name", *(["ids", "n"] if self.pieces else ["payload"])} <= set(fields):
+            raise ValueError("shardtar needs the columns shard, name and payload, or shard, name, ids and n")
         open_fs(folder)[0].create_dir(open_fs(folder)[1], recursive=True)
 
     def _members(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, str, bytes]]:
-        current, parts = None, []
-        for batch in batches:
-            shards = batch.column("shard").to_pylist()
-            names = batch.column("name").to_pylist()
-            values = batch.column("tokens" if self.tokens else "payload")
-            for i, key in enumerate(zip(shards, names)):
-                if not self.tokens:
-                    yield *key, values[i].as_py()
-                    continue
-                if key != current:
-                    if current is not None:
-                        yield *current, self._payload(current, parts)
-                    current, parts = key, []
-                parts.append(values[i].values.to_numpy(zero_copy_only=False))
-        if current is not None:
-            yield *current, self._payload(current, parts)
-
-    def _payload(self, key, parts: list[np.ndarray]) -> bytes:
-        tokens = np.concatenate(parts)
-        if self.seqlen is not None and len(tokens) != self.seqlen:
-            raise ValueError(f"context {key} has {len(tokens)} ids, not {self.seqlen}")
-        return gzip_json(tokens)
+        if not self.pieces:
+            for batch in batches:
+                yield from zip(*(batch.column(c).to_pylist() for c in ("shard", "name", "payload")))
+            return
+        rows = (row for b in batches for row in zip(*(b.column(c).to_pylist() for c in ("shard", "name", "ids", "n"))))
+        for (shard, name), group in groupby(rows, key=lambda row: row[:2]):
+            parts, size = [], 0
+            for _, _, ids, n in group:
+                parts.append(ids)
+                size += n
+            if self.seqlen is not None and size != self.seqlen:
+                raise ValueError(f"context {name} of shard {shard} has {size} ids, not {self.seqlen}")
+            yield shard, name, gzip_json(parts)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> ShardCounts:
         written: dict[int, int] = {}
@@ -171,6 +162,8 @@ def write_shards(
 ) -> None:
     """Write rows (shard, name, payload | tokens) as tars, members sorted by ``order``.
 
+    Ids become text in the JVM, after the shuffle; the Python side only packs.
+
     Rows go to their task by shard number, so tasks differ by at most one shard. Give ``shards``
     when known, to have no more tasks than shards.
     """
@@ -180,9 +173,12 @@ def write_shards(
     spark.dataSource.register(ShardTarSource)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     tasks = max(1, min(tasks, shards)) if shards else tasks
-    value = "tokens" if "tokens" in df.columns else "payload"
+    if "tokens" in df.columns:
+        values = [F.array_join(F.col("tokens").cast("array<string>"), ",").alias("ids"), F.size("tokens").alias("n")]
+    else:
+        values = [F.col("payload")]
     placed = df.repartitionById(tasks, F.pmod("shard", F.lit(tasks)).cast("int"))
-    ready = placed.sortWithinPartitions("shard", *order).select("shard", "name", value)
+    ready = placed.sortWithinPartitions("shard", *order).select("shard", "name", *values)
     writer = ready.write.format(FORMAT).mode("append")
     if seqlen is not None:
         writer = writer.option("seqlen", str(seqlen))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ctxloom.sources.listing import resolve_inputs
+from ctxloom.sources.listing import resolve_inputs, text_scans
 from ctxloom.sources.paths import decoded_path
 
 # Plain JSON only: no single quotes, no NaN.
@@ -18,15 +18,8 @@ def read_lines(spark: SparkSession, paths: list[str] | str, ext: str | None = No
     ``block`` is the start of the file split, so an uncompressed file is read by many tasks; gzip and
     zstd files are one block. ``ord`` rises within a block and is taken in the scan itself.
     """
-    inputs = resolve_inputs(spark, paths, ext)
-    reader = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true")
-    scans = []
-    if inputs.files:
-        scans.append(reader.text(list(inputs.files)))
-    if inputs.dirs:
-        scans.append(reader.option("pathGlobFilter", inputs.glob).text(list(inputs.dirs)))
     out = None
-    for scan in scans:
+    for scan in text_scans(spark, resolve_inputs(spark, paths, ext)):
         lines = scan.select(
             decoded_path(F.col("_metadata.file_path")).alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
@@ -85,15 +78,19 @@ def split_bad_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, rejects
 
 
-def read_documents(
-    spark: SparkSession, paths: list[str] | str, ext: str | None = None, on_bad_record: str = "fail"
-) -> DataFrame:
-    """(file, block, ord, text). Bad records stop the job, or are left out with ``'drop'``."""
+def documents_of(checked: DataFrame, on_bad_record: str = "fail") -> DataFrame:
+    """(file, block, ord, text) of checked lines."""
     if on_bad_record not in ("fail", "drop"):
         raise ValueError("on_bad_record is 'fail' or 'drop'")
-    checked = check_records(read_lines(spark, paths, ext))
     if on_bad_record == "drop":
         return checked.filter(F.col("reason").isNull()).select("file", "block", "ord", "text")
     complaint = F.concat(F.lit("bad record in "), "file", F.lit(": "), "reason")
     text = F.when(F.col("reason").isNull(), F.col("text")).otherwise(F.raise_error(complaint).cast("string"))
     return checked.select("file", "block", "ord", text.alias("text"))
+
+
+def read_documents(
+    spark: SparkSession, paths: list[str] | str, ext: str | None = None, on_bad_record: str = "fail"
+) -> DataFrame:
+    """(file, block, ord, text). Bad records stop the job, or are left out with ``'drop'``."""
+    return documents_of(check_records(read_lines(spark, paths, ext)), on_bad_record)

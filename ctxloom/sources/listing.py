@@ -73,6 +73,23 @@ def resolve_inputs(spark: SparkSession, paths: list[str] | str, ext: str | None
     return Inputs(tuple(dirs), tuple(files), suffixes)
 
 
+def text_scans(spark: SparkSession, inputs: Inputs) -> list[DataFrame]:
+    """Line scans of the inputs: one for the files, one for the directories."""
+    reader = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true")
+    scans = []
+    if inputs.files:
+        scans.append(reader.text(list(inputs.files)))
+    if inputs.dirs:
+        scans.append(reader.option("pathGlobFilter", inputs.glob).text(list(inputs.dirs)))
+    return scans
+
+
+def scanned_files(scan: DataFrame) -> DataFrame:
+    """(file) of every file behind a scan, empty ones included, from the index the scan already holds."""
+    table = pa.table({"uri": pa.array(scan.inputFiles(), pa.string())})
+    return scan.sparkSession.createDataFrame(table).select(decoded_path(F.col("uri")).alias("file")).distinct()
+
+
 def _sizes(spark: SparkSession, inputs: Inputs) -> DataFrame:
     parts = []
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
@@ -94,14 +111,10 @@ def list_corpus(spark: SparkSession, paths: list[str] | str, ext: str | None = N
     bytes, so names come from the file index, which Spark holds on the driver for any scan.
     """
     inputs = resolve_inputs(spark, paths, ext)
-    uris: list[str] = []
-    reader = spark.read.option("recursiveFileLookup", "true")
-    if inputs.files:
-        uris += reader.text(list(inputs.files)).inputFiles()
-    if inputs.dirs:
-        uris += reader.option("pathGlobFilter", inputs.glob).text(list(inputs.dirs)).inputFiles()
-    table = pa.table({"uri": pa.array(uris, pa.string())})
-    names = spark.createDataFrame(table).select(decoded_path(F.col("uri")).alias("file")).distinct()
+    scans = text_scans(spark, inputs)
+    names = scanned_files(scans[0])
+    for scan in scans[1:]:
+        names = names.unionByName(scanned_files(scan))
     return names.join(_sizes(spark, inputs), "file", "left").select(
         "file", F.coalesce("bytes", F.lit(0)).cast("bigint").alias("bytes")
     )
