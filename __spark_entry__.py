@@ -31,10 +31,10 @@ from ctxloom.operators.pretokenize import pretoken_counts, pretokenize  # noqa:
 from ctxloom.operators.shuffle import (  # noqa: E402
     assign_shards, enumerate_contexts, global_shuffle, locate_shards, shard_lookup,
 )
-from ctxloom.operators.streams import arrange_blocks, block_streams, block_totals, pack_streams  # noqa: E402
+from ctxloom.operators.streams import arrange_blocks, block_streams, pack_streams  # noqa: E402
 from ctxloom.plans.shuffle_only import shuffle_shards  # noqa: E402
 from ctxloom.plans.summary import run_summary  # noqa: E402
-from ctxloom.plans.tokenize_shuffle import encode_stage, shard_pieces, tokenize_shuffle  # noqa: E402
+from ctxloom.plans.tokenize_shuffle import account_stage, encode_stage, shard_pieces, tokenize_shuffle  # noqa: E402
 from ctxloom.runtime import scratch_path, spread_small  # noqa: E402
 from ctxloom.sources.documents import check_records, read_documents, read_lines  # noqa: E402
 from ctxloom.sources.listing import dataset_size, list_corpus  # noqa: E402
@@ -377,10 +377,7 @@ def sharded_contexts(spark: SparkSession, sf: str) -> DataFrame:
     work = scratch_path(spark, "flagship")
     docs = arrange_blocks(_documents(spark, sf))
     streams = encode_stage(docs, encode_word_hash, RULES, SHORT, f"{work}/streams")
-    totals = block_totals(streams)
-    by_file = totals.groupBy("file").agg(F.sum("docs").alias("docs"), F.sum("total").cast("bigint").alias("total"))
-    stats = stats_from_totals(by_file, RULES, SHORT, total_row=False)
-    per_file = stats.join(by_file.select("file", "total"), "file")
+    totals, per_file = account_stage(streams, RULES, SHORT, work)
     ready, _ = shard_pieces(streams, totals, per_file, RULES, SHORT, CHUNK, SEED)
     parts = F.array_sort(F.collect_list(F.struct("offset", "tokens")))
     joined = ready.groupBy("shard", "name").agg(F.flatten(F.transform(parts, lambda p: p["tokens"])).alias("tokens"))
@@ -690,7 +687,7 @@ def oracle_sql() -> dict[str, str]:
         "tokenize_shuffle_job": f"{_JOB_PLACED} SELECT shard, idx, tokens_md5 FROM sharded",
         "tokenize_shuffle_cells": f"{_JOB}, {_cascade_sql('keyed')} SELECT shard, idx, tokens_md5 FROM cascade JOIN keyed USING (key)",
         "shuffle_only_job": f"""{_JOB_PLACED},
-              second AS (SELECT tokens_md5, md5('{SEED + 1}|0/shard_' || lpad(shard::VARCHAR, 8, '0') || '.tar|' || idx) AS key2
+              second AS (SELECT tokens_md5, md5('{SEED + 1}|shard_' || lpad(shard::VARCHAR, 8, '0') || '.tar|' || idx) AS key2
                          FROM sharded),
               placed2 AS (SELECT tokens_md5, row_number() OVER (ORDER BY key2) - 1 AS rank FROM second)
             SELECT rank // {CHUNK // 2} AS shard, rank % {CHUNK // 2} AS idx, tokens_md5 FROM placed2""",

@@ -7,6 +7,7 @@ check of its size, and built once per Python worker.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import Any
@@ -80,14 +81,14 @@ def load_rank_vocab(spark: SparkSession, path: str, pattern: str = "neox") -> Vo
         raise ValueError(f"unknown pattern: {pattern}")
     _check_size(spark, path)
     ranks = {bytes(r.token): r.rank for r in read_ranks(spark, path).collect()}
-    return Vocab("ranks", spark.sparkContext.broadcast({"id": (path, pattern, len(ranks)), "ranks": ranks}), pattern)
+    return Vocab("ranks", spark.sparkContext.broadcast({"id": uuid.uuid4().hex, "ranks": ranks}), pattern)
 
 
 def load_hf_vocab(spark: SparkSession, path: str) -> Vocab:
     """Vocabulary from a ``tokenizer.json``."""
     _check_size(spark, path)
     text = spark.read.text(path, wholetext=True).first()[0]
-    return Vocab("hf", spark.sparkContext.broadcast({"id": (path, len(text)), "json": text}))
+    return Vocab("hf", spark.sparkContext.broadcast({"id": uuid.uuid4().hex, "json": text}))
 
 
 def token_lists(rows: list[np.ndarray]) -> pa.ListArray:

@@ -14,7 +14,7 @@ from ctxloom.plans.tokenize_shuffle import BROADCAST_LIMIT, JobResult, _finish,
 from ctxloom.runtime import scratch_path
 from ctxloom.sinks.shard_tar import write_shards
 from ctxloom.sources.listing import resolve_inputs
-from ctxloom.sources.paths import relative_name
+from ctxloom.sources.paths import qualified, relative_name
 from ctxloom.sources.shards import TAR_SUFFIX, index_shards, read_ranges
 
 
@@ -57,13 +57,13 @@ def shuffle_shards(
     """
     check_positive(seqlen=seqlen, chunk_size=chunk_size, n_cells=n_cells)
     ext = ext or TAR_SUFFIX
-    roots = resolve_inputs(spark, inputs, ext).roots
-    work = (work or scratch_path(spark, "shuffle")).rstrip("/")
+    parent = resolve_inputs(spark, inputs, ext).parent
+    work = qualified(spark, work or scratch_path(spark, "shuffle"))
     ranges = _stored(index_shards(spark, inputs, ext), f"{work}/ranges")
-    counts = ranges.groupBy(relative_name("src", roots).alias("file")).agg(F.sum("members").alias("contexts"))
+    counts = ranges.groupBy(relative_name("src", parent).alias("file")).agg(F.sum("members").alias("contexts"))
     counts = _stored(counts, f"{work}/files")
     members = read_ranges(ranges).select(
-        relative_name("src", roots).alias("file"), F.col("pos").alias("ctx"), "name", "payload"
+        relative_name("src", parent).alias("file"), F.col("pos").alias("ctx"), "name", "payload"
     )
     ready, order = member_shards(members, counts, chunk_size, seed, shuffle, n_cells)
     contexts = counts.agg(F.coalesce(F.sum("contexts"), F.lit(0))).first()[0]

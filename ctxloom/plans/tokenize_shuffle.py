@@ -27,7 +27,7 @@ from ctxloom.sinks.shard_tar import write_shards
 from ctxloom.sources.documents import check_records, documents_of, read_lines
 from ctxloom.sources.listing import resolve_inputs, scanned_files
 from ctxloom.sources.manifest import read_manifest
-from ctxloom.sources.paths import relative_name
+from ctxloom.sources.paths import qualified, relative_name
 
 BROADCAST_LIMIT = 256 << 20
 MEMBER_SUFFIX = ".json.gz"
@@ -64,6 +64,20 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def account_stage(
+    streams: DataFrame, rules: Preset, seqlen: int, work: str, files: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(totals per block, accounting per file), stored: small tables that several later steps read."""
+    totals = _stored(block_totals(streams), f"{work}/totals")
+    by_file = totals.groupBy("file").agg(F.sum("docs").alias("docs"), F.sum("total").alias("total"))
+    if files is not None:
+        by_file = files.join(by_file, "file", "left")
+    by_file = by_file.select("file", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("docs", "total")])
+    stats = stats_from_totals(by_file, rules, seqlen, total_row=False)
+    total = (F.col("contexts") * seqlen - F.col("pad_tokens")).alias("total")
+    return totals, _stored(stats.select("*", total), f"{work}/files")
+
+
 def shard_pieces(
     streams: DataFrame, totals: DataFrame, per_file: DataFrame, rules: Preset, seqlen: int, chunk_size: int,
     seed: int, shuffle: str = "global", n_cells: int = 128,
@@ -115,33 +129,26 @@ def tokenize_shuffle(
     each file's lines over tasks before encoding, at the price of one shuffle of the text; it is for
     corpora of few, large compressed files. ``work`` takes the stored intermediates; by default it is
     a fresh path in the shared folder. It can be dropped once the job is done. Streams are named by
-    their file relative to its input; ``name_of`` (path to name, one to one) names them otherwise.
+    their file relative to the folder that holds all inputs; ``name_of`` (path to name, one to one) names them otherwise.
     """
     check_positive(seqlen=seqlen, chunk_size=chunk_size, n_cells=n_cells)
     backend = backend or (encoder.backend if isinstance(encoder, Vocab) else "hf")
     rules = preset(tokenizer, backend)
-    roots = resolve_inputs(spark, inputs, ext).roots
-    work = (work or scratch_path(spark, "tokenize")).rstrip("/")
+    parent = resolve_inputs(spark, inputs, ext).parent
+    work = qualified(spark, work or scratch_path(spark, "tokenize"))
 
     lines = read_lines(spark, inputs, ext)
     # Rejects are counted in the pass that encodes.
     seen = Observation()
     checked = check_records(lines).observe(seen, F.count_if(F.col("reason").isNotNull()).alias("rejects"))
     docs = documents_of(checked, on_bad_record)
-    name = name_of(F.col("file")) if name_of else relative_name("file", roots)
+    name = name_of(F.col("file")) if name_of else relative_name("file", parent)
     docs = docs.withColumn("file", name)
     if rows_per_block:
         docs = arrange_blocks(docs, rows_per_block)
     streams = encode_stage(docs, encoder, rules, seqlen, f"{work}/streams")
-    totals = _stored(block_totals(streams), f"{work}/totals")
-
     files = scanned_files(lines).select(name.alias("file"))
-    by_file = totals.groupBy("file").agg(F.sum("docs").alias("docs"), F.sum("total").alias("total"))
-    by_file = files.join(by_file, "file", "left").select(
-        "file", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("docs", "total")]
-    )
-    stats = stats_from_totals(by_file, rules, seqlen, total_row=False)
-    per_file = _stored(stats.join(by_file.select("file", "total"), "file"), f"{work}/files")
+    totals, per_file = account_stage(streams, rules, seqlen, work, files)
 
     ready, order = shard_pieces(streams, totals, per_file, rules, seqlen, chunk_size, seed, shuffle, n_cells)
     contexts = per_file.agg(F.coalesce(F.sum("contexts"), F.lit(0))).first()[0]

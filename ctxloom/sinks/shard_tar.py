@@ -20,9 +20,11 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 
 from ctxloom.runtime import ship_package
 from ctxloom.sources.manifest import MANIFEST_NAME
-from ctxloom.sources.paths import open_fs, write_small
+from ctxloom.sources.paths import open_fs, qualified, write_small
 
 FORMAT = "shardtar"
+# With default sizes about 4 GB of ids, sorted with spilling; more shards mean more tasks.
+SHARDS_PER_TASK = 64
 
 
 @dataclass
@@ -164,15 +166,17 @@ def write_shards(
 
     Ids become text in the JVM, after the shuffle; the Python side only packs.
 
-    Rows go to their task by shard number, so tasks differ by at most one shard. Give ``shards``
-    when known, to have no more tasks than shards.
+    Rows go to their task by shard number, so tasks differ by at most one shard. ``shards``, when
+    known, sizes the tasks.
     """
     spark: SparkSession = df.sparkSession
     ship_package(spark)
+    folder = qualified(spark, folder)
     _check_unused(folder)
     spark.dataSource.register(ShardTarSource)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(1, min(tasks, shards)) if shards else tasks
+    if shards is not None:
+        tasks = max(1, min(shards, max(tasks, -(-shards // SHARDS_PER_TASK))))
     if "tokens" in df.columns:
         values = [F.array_join(F.col("tokens").cast("array<string>"), ",").alias("ids"), F.size("tokens").alias("n")]
     else:

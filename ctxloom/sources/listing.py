@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ctxloom.sources.paths import decoded_path, local_form, normal_path
+from ctxloom.sources.paths import common_parent, decoded_path, is_file, local_form, qualified
 
 JSONL_SUFFIXES = (".jsonl", ".jsonl.gz", ".jsonl.zstd", ".jsonl.zst")
 
@@ -28,16 +28,8 @@ class Inputs:
         return "*{" + ",".join(self.suffixes) + "}"
 
     @property
-    def roots(self) -> list[str]:
-        return [*self.dirs, *self.files]
-
-
-def _is_file(spark: SparkSession, path: str) -> bool:
-    """Ask the path's own file system, as Spark's readers do."""
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    system = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(system.getFileStatus(hadoop_path).isFile())
+    def parent(self) -> str:
+        return common_parent(list(self.dirs), list(self.files))
 
 
 def resolve_inputs(spark: SparkSession, paths: list[str] | str, ext: str | None = None) -> Inputs:
@@ -53,8 +45,8 @@ def resolve_inputs(spark: SparkSession, paths: list[str] | str, ext: str | None
     suffixes = (ext,) if ext else JSONL_SUFFIXES
     dirs: list[str] = []
     files: list[str] = []
-    for path in dict.fromkeys(normal_path(p) for p in paths):
-        if not _is_file(spark, path):
+    for path in dict.fromkeys(qualified(spark, p) for p in paths):
+        if not is_file(spark, path):
             dirs.append(path)
             continue
         name = path.rsplit("/", 1)[-1]

@@ -6,7 +6,7 @@ import re
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 _CODECS = {"gz": "gzip", "zst": "zstd", "zstd": "zstd"}
@@ -28,19 +28,36 @@ def normal_path(path: str) -> str:
     return plain.rstrip("/") or "/"
 
 
-def relative_name(file: str, roots: list[str]) -> Column:
-    """``file`` relative to the input root that holds it, tagged with the root's number.
+def qualified(spark: SparkSession, path: str) -> str:
+    """Absolute form of a path as its own file system gives it, so driver and tasks mean one place."""
+    hadoop_path, system = _hadoop(spark, path)
+    return normal_path(system.makeQualified(hadoop_path).toString())
 
-    Shuffle keys are built on this name, so moving a corpus does not change its order.
-    """
-    col = F.col(file)
-    name = F.lit(None).cast("string")
-    for i, root in reversed(list(enumerate(normal_path(r) for r in roots))):
-        tail = F.substring(col, len(root) + 2, 1 << 20)
-        name = F.when(col == root, F.concat(F.lit(f"{i}/"), F.element_at(F.split(col, "/"), -1))).when(
-            col.startswith(root + "/"), F.concat(F.lit(f"{i}/"), tail)
-        ).otherwise(name)
-    return name
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    hadoop_path, system = _hadoop(spark, path)
+    return bool(system.getFileStatus(hadoop_path).isFile())
+
+
+def _hadoop(spark: SparkSession, path: str):
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def common_parent(dirs: list[str], files: list[str]) -> str:
+    """Deepest folder that holds all inputs, themselves included if folders; empty if there is none."""
+    split = [d.split("/") for d in dirs] + [f.split("/")[:-1] for f in files]
+    shared = []
+    for parts in zip(*split):
+        if len(set(parts)) > 1:
+            break
+        shared.append(parts[0])
+    return "/".join(shared)
+
+
+def relative_name(file: str, parent: str) -> Column:
+    """``file`` below ``parent``. Shuffle keys use this name, so moving a corpus keeps its order."""
+    return F.substring(F.col(file), len(parent) + 2, 1 << 20) if parent else F.col(file)
 
 
 def open_fs(path: str) -> tuple[pafs.FileSystem, str]:

@@ -5,7 +5,6 @@ import os
 import tarfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from ctxloom.__main__ import main
 from ctxloom.functions.encoders import encode_bytes

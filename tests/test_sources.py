@@ -1,14 +1,14 @@
 import gzip
 import json
+import os
 
 import pytest
 import zstandard
-from pyspark.sql import functions as F
 
 from ctxloom.sources.documents import check_records, read_documents, read_lines, split_bad_records
 from ctxloom.sources.listing import dataset_size, list_corpus
 from ctxloom.sources.manifest import read_manifest
-from ctxloom.sources.paths import relative_name
+from ctxloom.sources.paths import common_parent, relative_name
 from ctxloom.sources.ranks import read_ranks
 
 from conftest import rank_lines
@@ -122,6 +122,19 @@ def test_manifest_and_size(spark, tmp_path):
 
 
 def test_relative_name(spark):
-    df = spark.createDataFrame([("/a/b/x",), ("/c/y",), ("/d/e",)], "file string")
-    got = [r[0] for r in df.select(relative_name("file", ["/a", "/c", "/d/e"])).collect()]
-    assert got == ["0/b/x", "1/y", "2/e"]
+    df = spark.createDataFrame([("/a/b/x",), ("/a/c/y",)], "file string")
+    for dirs, files, want in [
+        (["/a"], [], ["b/x", "c/y"]),
+        (["/a/b"], ["/a/c/y"], ["b/x", "c/y"]),
+        ([], ["/a/b/x", "/a/c/y"], ["b/x", "c/y"]),
+    ]:
+        got = [r[0] for r in df.select(relative_name("file", common_parent(dirs, files))).collect()]
+        assert got == want
+    assert common_parent([], ["/a/b/x"]) == "/a/b"
+    assert common_parent(["s3a://p/x", "s3a://q/x"], []) == "s3a:/"
+    assert common_parent(["s3a://p/x", "/q/x"], []) == ""
+
+
+def test_relative_paths(spark, corpus):
+    relative = os.path.relpath(corpus)
+    assert list_corpus(spark, relative).exceptAll(list_corpus(spark, str(corpus))).count() == 0
