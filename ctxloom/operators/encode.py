@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from ctxloom.functions.presets import PATTERNS
-from ctxloom.operators.pretokenize import pretoken_expr
-from ctxloom.runtime import ship_package
+from ctxloom.operators.pretokenize import pretoken_counts, pretoken_expr
+from ctxloom.runtime import scratch_path, ship_package
 from ctxloom.sources.listing import dataset_size
 from ctxloom.sources.ranks import read_ranks
 
@@ -129,14 +129,16 @@ def encode_corpus(
 
 
 def _encode_by_dictionary(docs: DataFrame, vocab: Vocab, ids: tuple[str, ...]) -> DataFrame:
+    # The dictionary is stored: three steps below read it, and none should count words again.
+    store = scratch_path(docs.sparkSession, "dictionary")
+    counts = pretoken_counts(docs, vocab.pattern)
+    counts.select("word", "n", _encode_udf(vocab.words_only())("word").alias("ids")).write.parquet(store)
+    coded = docs.sparkSession.read.parquet(store)
+    total = coded.agg(F.sum("n")).scalar()
     words = docs.select(*ids, F.posexplode_outer(pretoken_expr(F.col("text"), vocab.pattern)).alias("pos", "word"))
-    counts = words.filter("word is not null").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    coded = counts.select("word", "n", _encode_udf(vocab.words_only())("word").alias("ids"))
-    total = counts.agg(F.sum("n").alias("total"))
     # A word with 1/HOT_WORDS of all occurrences is one of at most HOT_WORDS, each short: safe to broadcast.
     hot = (
-        coded.join(F.broadcast(total), F.col("n") * HOT_WORDS >= F.col("total"))
-        .filter(F.octet_length("word") <= _HOT_WORD_BYTES)
+        coded.filter((F.col("n") * HOT_WORDS >= total) & (F.octet_length("word") <= _HOT_WORD_BYTES))
         .select("word", F.col("ids").alias("hot_ids"))
     )
     staged = words.join(F.broadcast(hot), "word", "left")

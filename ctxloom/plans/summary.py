@@ -18,13 +18,11 @@ def run_summary(per_file: DataFrame, manifest: DataFrame, chunk_size: int) -> Da
         ]
     )
     shards = manifest.agg(
-        F.count(F.lit(1)).alias("shards"),
-        F.count_if(F.col("num_sequences") < chunk_size).alias("short_shards"),
-        F.coalesce(F.sum("num_sequences"), F.lit(0)).cast("bigint").alias("num_sequences"),
-    )
-    # Both sides are single rows; the constant key joins them.
-    one = totals.withColumn("_k", F.lit(1)).join(shards.withColumn("_k", F.lit(1)), "_k").drop("_k")
+        F.struct(
+            F.count(F.lit(1)).alias("shards"),
+            F.count_if(F.col("num_sequences") < chunk_size).alias("short_shards"),
+            F.coalesce(F.sum("num_sequences"), F.lit(0)).cast("bigint").alias("num_sequences"),
+        )
+    ).scalar()
     share = F.round(F.col("pad_tokens") / F.nullif(F.col("token_count") + F.col("bos_tokens"), F.lit(0)), 6)
-    return one.select(
-        "docs", "token_count", "contexts", "shards", "short_shards", "num_sequences", share.alias("pad_share")
-    )
+    return totals.withColumn("m", shards).select("docs", "token_count", "contexts", "m.*", share.alias("pad_share"))
