@@ -61,7 +61,7 @@ class Vocab:
             bpe = tiktoken.Encoding(
                 "ranks", pat_str=pattern, mergeable_ranks=self.data.value["ranks"], special_tokens={}
             )
-            return lambda text: np.asarray(bpe.encode_ordinary(text), dtype=np.int32)
+            return lambda text: bpe.encode_to_numpy(text, disallowed_special=()).astype(np.int32)
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import tokenizers
 

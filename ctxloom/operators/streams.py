@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ctxloom.functions.arith import int_div
 from ctxloom.functions.presets import Preset
 from ctxloom.operators.encode import Vocab, token_lists
-from ctxloom.operators.offsets import range_bases
+from ctxloom.operators.offsets import ROWS_PER_RANGE, range_bases
 from ctxloom.operators.packing import check_positive, join_pieces, pad_pieces
 from ctxloom.runtime import ship_package
 
@@ -137,13 +137,18 @@ def block_totals(streams: DataFrame) -> DataFrame:
 
 
 def stream_pieces(
-    streams: DataFrame, totals: DataFrame, seqlen: int, broadcast: bool = False
+    streams: DataFrame, totals: DataFrame, seqlen: int, broadcast: bool = False, depth: int = 0
 ) -> DataFrame:
     """(file, ctx, offset, tokens): each row cut at the one context border it can hold.
 
-    ``totals`` has a row per block; broadcast it only after checking its size.
+    ``totals`` has a row per block; broadcast it only after checking its size. ``depth`` adds levels
+    of block ranges to the running sum, for tables whose sparse ids give a file very many blocks.
     """
-    bases = range_bases(totals.select("file", "block", "total"), ["file", "block"])
+    ranges = [f"_r{i}" for i in range(depth, 0, -1)]
+    bases = totals.select("file", "block", "total")
+    for i in range(1, depth + 1):
+        bases = bases.withColumn(f"_r{i}", int_div("block", ROWS_PER_RANGE**i))
+    bases = range_bases(bases, ["file", *ranges, "block"]).drop(*ranges)
     placed = streams.join(F.broadcast(bases) if broadcast else bases, ["file", "block"])
     at = F.col("base") + F.col("seq") * seqlen
     size = F.col("n")
@@ -167,10 +172,11 @@ def stream_pieces(
 
 
 def pack_streams(
-    streams: DataFrame, seqlen: int, pad: int, files: DataFrame | None = None, totals: DataFrame | None = None
+    streams: DataFrame, seqlen: int, pad: int, files: DataFrame | None = None, totals: DataFrame | None = None,
+    depth: int = 0,
 ) -> DataFrame:
     """Contexts (file, ctx, n_real, tokens) of block streams."""
     totals = block_totals(streams) if totals is None else totals
     per_file = totals.groupBy("file").agg(F.sum("total").cast("bigint").alias("total"))
-    pieces = stream_pieces(streams, totals, seqlen).withColumn("is_pad", F.lit(False))
+    pieces = stream_pieces(streams, totals, seqlen, depth=depth).withColumn("is_pad", F.lit(False))
     return join_pieces(pieces.unionByName(pad_pieces(per_file, seqlen, pad, files)))

@@ -39,7 +39,7 @@ def _parsed(line: Column) -> tuple[Column, Column]:
     """
     as_item = F.from_json(F.concat(F.lit("["), line, F.lit("]")), "array<struct<text: variant>>", _STRICT)
     as_member = F.from_json(F.concat(F.lit('{"r":'), line, F.lit("}")), "struct<r: struct<text: variant>>", _STRICT)
-    closes_bracket = line.rlike(r"\}\s*\]")
+    closes_bracket = line.contains("]") & line.rlike(r"\}\s*\]")
     single = F.when(closes_bracket, as_member["r"].isNotNull()).otherwise(F.lit(True))
     return as_item, single
 
@@ -56,7 +56,7 @@ def check_records(lines: DataFrame) -> DataFrame:
     staged = staged.withColumn("_value", F.when(F.size("_item") == 1, F.col("_item")[0]["text"]))
     reason = (
         F.when(~utf8, "invalid utf-8")
-        .when(F.trim(F.regexp_replace("line", r"[\s]+$", "")) == "", "blank")
+        .when(~F.col("line").rlike(r"\S"), "blank")
         .when(
             F.col("_item").isNull() | (F.size("_item") != 1) | ~F.col("_single") | F.col("_item")[0].isNull(),
             "not a JSON object",

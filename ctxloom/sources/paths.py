@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import re
 
 import pyarrow as pa
@@ -9,6 +10,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+_READ_BYTES = 4 << 20
 _CODECS = {"gz": "gzip", "zst": "zstd", "zstd": "zstd"}
 
 
@@ -73,11 +75,14 @@ def codec_of(path: str) -> str | None:
 
 
 def open_bytes(path: str):
-    """Readable stream, decompressed by suffix."""
+    """Readable stream, decompressed by suffix; a plain file can be sought.
+
+    Large buffered reads keep the number of requests to an object store low.
+    """
     system, inner = open_fs(path)
     codec = codec_of(path)
     if codec is None:
-        return system.open_input_file(inner)
+        return io.BufferedReader(system.open_input_file(inner), _READ_BYTES)
     return pa.CompressedInputStream(system.open_input_stream(inner, compression=None), codec)
 
 

@@ -143,7 +143,7 @@ def test_both_packings_keep_the_contract(spark, byte_rules, files, seqlen, step)
 
     raw = docs_frame(spark, files, step=step).withColumn("tokens", encode_bytes(F.col("text")))
     streams = block_streams(arrange_blocks(raw, rows_per_block=2), byte_rules, seqlen)
-    assert collected(pack_streams(streams, seqlen, PAD, files=names)) == want
+    assert collected(pack_streams(streams, seqlen, PAD, files=names, depth=step - 1)) == want
     docs = {r.file: r.docs for r in block_totals(streams).groupBy("file").agg(F.sum("docs").alias("docs")).collect()}
     assert docs == {f: len(t) for f, t in files.items() if t}
 
