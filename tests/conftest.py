@@ -16,7 +16,7 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 def spark(tmp_path_factory):
     session = build_session(
         "ctxloom-tests",
-        "local[4]",
+        "local[8]",
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",

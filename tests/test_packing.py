@@ -131,7 +131,7 @@ texts = st.text(alphabet="ab é日", max_size=40)
 corpora = st.dictionaries(st.sampled_from(["f", "g", "h"]), st.lists(texts, max_size=6), min_size=1)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(files=corpora, seqlen=st.integers(1, 20), step=st.integers(1, 3))
 def test_both_packings_keep_the_contract(spark, byte_rules, files, seqlen, step):
     want = plain_pack(files, seqlen)
