@@ -378,7 +378,7 @@ def sharded_contexts(spark: SparkSession, sf: str) -> DataFrame:
     docs = arrange_blocks(_documents(spark, sf))
     streams = encode_stage(docs, encode_word_hash, RULES, SHORT, f"{work}/streams")
     totals, per_file = account_stage(streams, RULES, SHORT, work)
-    ready, _ = shard_pieces(streams, totals, per_file, RULES, SHORT, CHUNK, SEED)
+    ready = shard_pieces(streams, totals, per_file, RULES, SHORT, CHUNK, SEED).rows
     parts = F.array_sort(F.collect_list(F.struct("offset", "tokens")))
     joined = ready.groupBy("shard", "name").agg(F.flatten(F.transform(parts, lambda p: p["tokens"])).alias("tokens"))
     return joined.select("shard", "name", _token_md5().alias("tokens_md5"))

@@ -20,7 +20,7 @@ from pyspark.sql.functions import arrow_udf
 
 from ctxloom.functions.presets import PATTERNS
 from ctxloom.operators.pretokenize import pretoken_counts, pretoken_expr
-from ctxloom.runtime import scratch_path, ship_package
+from ctxloom.runtime import scratch_path, ship_package, store
 from ctxloom.sources.listing import dataset_size
 from ctxloom.sources.ranks import read_ranks
 
@@ -130,10 +130,9 @@ def encode_corpus(
 
 def _encode_by_dictionary(docs: DataFrame, vocab: Vocab, ids: tuple[str, ...]) -> DataFrame:
     # The dictionary is stored: three steps below read it, and none should count words again.
-    store = scratch_path(docs.sparkSession, "dictionary")
     counts = pretoken_counts(docs, vocab.pattern)
-    counts.select("word", "n", _encode_udf(vocab.words_only())("word").alias("ids")).write.parquet(store)
-    coded = docs.sparkSession.read.parquet(store)
+    coded = counts.select("word", "n", _encode_udf(vocab.words_only())("word").alias("ids"))
+    coded = store(coded, scratch_path(docs.sparkSession, "dictionary"))
     total = coded.agg(F.sum("n")).scalar()
     words = docs.select(*ids, F.posexplode_outer(pretoken_expr(F.col("text"), vocab.pattern)).alias("pos", "word"))
     # A word with 1/HOT_WORDS of all occurrences is one of at most HOT_WORDS, each short: safe to broadcast.

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ctxloom.functions.arith import int_div
@@ -26,13 +26,13 @@ STREAM_SCHEMA = "file string, block bigint, seq bigint, docs bigint, n int, toke
 _FLUSH_TOKENS = 1 << 20
 
 
-def arrange_blocks(df: DataFrame, rows_per_block: int = 4096) -> DataFrame:
+def arrange_blocks(df: DataFrame, rows_per_block: int = 4096, block: Column | None = None) -> DataFrame:
     """Lay a table (file, ord, ...) out as blocks: one task has each block whole and in order.
 
     A file scan needs no arranging. Use this for tables, and to spread a huge compressed file that
-    one task had to read.
+    one task had to read. ``block`` must follow the order of ``ord``; by default it is a range of it.
     """
-    block = int_div("ord", rows_per_block)
+    block = int_div("ord", rows_per_block) if block is None else block
     return df.withColumn("block", block).repartition("file", "block").sortWithinPartitions("file", "block", "ord")
 
 

@@ -10,8 +10,9 @@ from ctxloom.functions.presets import NEOX
 from ctxloom.operators.cascade import cascade_shards
 from ctxloom.operators.packing import check_positive
 from ctxloom.operators.shuffle import enumerate_contexts, locate_shards, lookup_bytes, shard_lookup
-from ctxloom.plans.tokenize_shuffle import BROADCAST_LIMIT, JobResult, _finish, _stored
-from ctxloom.runtime import scratch_path
+from ctxloom.plans import common
+from ctxloom.plans.common import JobResult, Placement, finish_job
+from ctxloom.runtime import scratch_path, store
 from ctxloom.sinks.shard_tar import write_shards
 from ctxloom.sources.listing import resolve_inputs
 from ctxloom.sources.paths import qualified, relative_name
@@ -20,20 +21,22 @@ from ctxloom.sources.shards import TAR_SUFFIX, index_shards, read_ranges
 
 def member_shards(
     members: DataFrame, counts: DataFrame, chunk_size: int, seed: int, shuffle: str = "global", n_cells: int = 128
-) -> tuple[DataFrame, tuple[str, ...]]:
-    """(rows for the shard sink, their order) from members (file, ctx, name, payload).
+) -> Placement:
+    """Members (file, ctx, name, payload) with their shards.
 
     ``counts`` (file, contexts) decides where each member goes, so a payload moves once.
     """
+    contexts = counts.agg(F.coalesce(F.sum("contexts"), F.lit(0))).first()[0]
+    shards = -(-contexts // chunk_size)
     if shuffle == "global":
-        contexts = counts.agg(F.coalesce(F.sum("contexts"), F.lit(0))).first()[0]
         keyed = members.select(key_expr(seed, "file", "ctx").alias("key"), "name", "payload")
         lookup = shard_lookup(counts, seed, chunk_size)
-        return locate_shards(keyed, lookup, lookup_bytes(contexts, chunk_size) <= BROADCAST_LIMIT), ("key",)
+        placed = locate_shards(keyed, lookup, lookup_bytes(contexts, chunk_size) <= common.BROADCAST_LIMIT)
+        return Placement(placed, ("key",), shards)
     if shuffle != "cells":
         raise ValueError(f"unknown shuffle: {shuffle}")
     placing = cascade_shards(enumerate_contexts(counts), n_cells, chunk_size, seed)
-    return members.join(placing.select("file", "ctx", "shard", "idx"), ["file", "ctx"]), ("idx",)
+    return Placement(members.join(placing.select("file", "ctx", "shard", "idx"), ["file", "ctx"]), ("idx",), shards)
 
 
 def shuffle_shards(
@@ -59,17 +62,16 @@ def shuffle_shards(
     ext = ext or TAR_SUFFIX
     parent = resolve_inputs(spark, inputs, ext).parent
     work = qualified(spark, work or scratch_path(spark, "shuffle"))
-    ranges = _stored(index_shards(spark, inputs, ext), f"{work}/ranges")
+    ranges = store(index_shards(spark, inputs, ext), f"{work}/ranges")
     counts = ranges.groupBy(relative_name("src", parent).alias("file")).agg(F.sum("members").alias("contexts"))
-    counts = _stored(counts, f"{work}/files")
+    counts = store(counts, f"{work}/files")
     members = read_ranges(ranges).select(
         relative_name("src", parent).alias("file"), F.col("pos").alias("ctx"), "name", "payload"
     )
-    ready, order = member_shards(members, counts, chunk_size, seed, shuffle, n_cells)
-    contexts = counts.agg(F.coalesce(F.sum("contexts"), F.lit(0))).first()[0]
-    write_shards(ready, output, order, shards=-(-contexts // chunk_size))
+    placed = member_shards(members, counts, chunk_size, seed, shuffle, n_cells)
+    write_shards(placed.rows, output, placed.order, placed.shards)
     zero = F.lit(0).cast("bigint")
     closed = counts.select("contexts", *[zero.alias(c) for c in ("docs", "token_count", "bos_tokens", "pad_tokens")])
-    result = _finish(spark, output, closed, chunk_size, seqlen, tokenizer, input_json, output_json)
+    result = finish_job(spark, output, closed, chunk_size, seqlen, tokenizer, input_json, output_json)
     result.work = work
     return result

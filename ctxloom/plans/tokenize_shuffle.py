@@ -7,11 +7,11 @@ Everything in between works on counts and keys.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ctxloom.functions.arith import int_div
 from ctxloom.functions.keys import key_expr
 from ctxloom.functions.presets import NEOX, Preset, preset
 from ctxloom.operators.accounting import stats_from_totals
@@ -20,30 +20,17 @@ from ctxloom.operators.encode import Vocab
 from ctxloom.operators.packing import check_positive, pad_pieces
 from ctxloom.operators.shuffle import enumerate_contexts, locate_shards, lookup_bytes, shard_lookup
 from ctxloom.operators.streams import arrange_blocks, block_streams, block_totals, stream_pieces
-from ctxloom.plans.card import finalize_card
-from ctxloom.plans.summary import run_summary
-from ctxloom.runtime import scratch_path
+from ctxloom.plans import common
+from ctxloom.plans.common import JobResult, Placement, finish_job
+from ctxloom.runtime import scratch_path, store
 from ctxloom.sinks.shard_tar import write_shards
 from ctxloom.sources.documents import check_records, documents_of, read_lines
 from ctxloom.sources.listing import resolve_inputs, scanned_files
-from ctxloom.sources.manifest import read_manifest
-from ctxloom.sources.paths import qualified, relative_name
+from ctxloom.sources.paths import COMPRESSED, qualified, relative_name
 
-BROADCAST_LIMIT = 256 << 20
 MEMBER_SUFFIX = ".json.gz"
 
 
-@dataclass
-class JobResult:
-    """What a job reports. ``card`` is None when no card was asked for."""
-
-    summary: dict
-    card: dict | None = None
-    warnings: list[str] = field(default_factory=list)
-    rejects: int = 0
-    work: str = ""
-
-
 def encode_stage(
     docs: DataFrame, encoder: Vocab | Callable[[Column], Column], rules: Preset, seqlen: int, path: str
 ) -> DataFrame:
@@ -55,43 +42,38 @@ def encode_stage(
         streams = block_streams(docs, rules, seqlen, encoder)
     else:
         streams = block_streams(docs.withColumn("tokens", encoder(F.col("text"))), rules, seqlen)
-    streams.write.parquet(path)
-    return docs.sparkSession.read.parquet(path)
-
-
-def _stored(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return store(streams, path)
 
 
 def account_stage(
     streams: DataFrame, rules: Preset, seqlen: int, work: str, files: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(totals per block, accounting per file), stored: small tables that several later steps read."""
-    totals = _stored(block_totals(streams), f"{work}/totals")
+    totals = store(block_totals(streams), f"{work}/totals")
     by_file = totals.groupBy("file").agg(F.sum("docs").alias("docs"), F.sum("total").alias("total"))
     if files is not None:
         by_file = files.join(by_file, "file", "left")
     by_file = by_file.select("file", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("docs", "total")])
     stats = stats_from_totals(by_file, rules, seqlen, total_row=False)
     total = (F.col("contexts") * seqlen - F.col("pad_tokens")).alias("total")
-    return totals, _stored(stats.select("*", total), f"{work}/files")
+    return totals, store(stats.select("*", total), f"{work}/files")
 
 
 def shard_pieces(
     streams: DataFrame, totals: DataFrame, per_file: DataFrame, rules: Preset, seqlen: int, chunk_size: int,
     seed: int, shuffle: str = "global", n_cells: int = 128,
-) -> tuple[DataFrame, tuple[str, ...]]:
-    """(rows for the shard sink, their order): pieces of contexts, each with its shard."""
-    facts = totals.agg(F.coalesce(F.sum(F.octet_length("file") + 64), F.lit(0))).first()[0]
-    contexts = per_file.agg(F.coalesce(F.sum("contexts"), F.lit(0))).first()[0]
-    pieces = stream_pieces(streams, totals, seqlen, broadcast=facts <= BROADCAST_LIMIT)
+) -> Placement:
+    """Pieces of contexts, each with its shard. One small query learns the sizes that decide the plan."""
+    block_bytes = totals.agg(F.coalesce(F.sum(F.octet_length("file") + 64), F.lit(0))).scalar()
+    sizes = per_file.agg(F.coalesce(F.sum("contexts"), F.lit(0)).alias("contexts")).withColumn("blocks", block_bytes)
+    contexts, block_bytes = sizes.first()
+    pieces = stream_pieces(streams, totals, seqlen, broadcast=block_bytes <= common.BROADCAST_LIMIT)
     padding = pad_pieces(per_file, seqlen, rules.pad).drop("is_pad")
     pieces = pieces.unionByName(padding)
     if shuffle == "global":
         keyed = pieces.select(key_expr(seed, "file", "ctx").alias("key"), "offset", "tokens")
         lookup = shard_lookup(per_file.select("file", "contexts"), seed, chunk_size)
-        fits = lookup_bytes(contexts, chunk_size) <= BROADCAST_LIMIT
+        fits = lookup_bytes(contexts, chunk_size) <= common.BROADCAST_LIMIT
         placed = locate_shards(keyed, lookup, fits)
         order = ("name", "offset")
     elif shuffle == "cells":
@@ -100,7 +82,8 @@ def shard_pieces(
         order = ("idx", "offset")
     else:
         raise ValueError(f"unknown shuffle: {shuffle}")
-    return placed.withColumn("name", F.concat("key", F.lit(MEMBER_SUFFIX))), order
+    named = placed.withColumn("name", F.concat("key", F.lit(MEMBER_SUFFIX)))
+    return Placement(named, order, -(-contexts // chunk_size))
 
 
 def tokenize_shuffle(
@@ -126,8 +109,8 @@ def tokenize_shuffle(
     """JSON-lines corpora to shuffled shard tars, manifest and card.
 
     ``encoder`` is a vocabulary, or a column function from text to ids. ``rows_per_block`` spreads
-    each file's lines over tasks before encoding, at the price of one shuffle of the text; it is for
-    corpora of few, large compressed files. ``work`` takes the stored intermediates; by default it is
+    a compressed file's lines over tasks before encoding, at the price of one shuffle of the text; it
+    is for corpora of few, large compressed files. ``work`` takes the stored intermediates; by default it is
     a fresh path in the shared folder. It can be dropped once the job is done. Streams are named by
     their file relative to the folder that holds all inputs; ``name_of`` (path to name, one to one) names them otherwise.
     """
@@ -143,28 +126,18 @@ def tokenize_shuffle(
     checked = check_records(lines).observe(seen, F.count_if(F.col("reason").isNotNull()).alias("rejects"))
     docs = documents_of(checked, on_bad_record)
     name = name_of(F.col("file")) if name_of else relative_name("file", parent)
-    docs = docs.withColumn("file", name)
     if rows_per_block:
-        docs = arrange_blocks(docs, rows_per_block)
+        # Splits of a plain file are blocks already, and only within one is ``ord`` in file order.
+        whole = F.col("file").rlike(COMPRESSED)
+        docs = arrange_blocks(docs, block=F.when(whole, int_div("ord", rows_per_block)).otherwise(F.col("block")))
+    docs = docs.withColumn("file", name)
     streams = encode_stage(docs, encoder, rules, seqlen, f"{work}/streams")
     files = scanned_files(lines).select(name.alias("file"))
     totals, per_file = account_stage(streams, rules, seqlen, work, files)
 
-    ready, order = shard_pieces(streams, totals, per_file, rules, seqlen, chunk_size, seed, shuffle, n_cells)
-    contexts = per_file.agg(F.coalesce(F.sum("contexts"), F.lit(0))).first()[0]
-    write_shards(ready, output, order, shards=-(-contexts // chunk_size), seqlen=seqlen)
-    result = _finish(spark, output, per_file, chunk_size, seqlen, tokenizer, input_json, output_json)
+    placed = shard_pieces(streams, totals, per_file, rules, seqlen, chunk_size, seed, shuffle, n_cells)
+    write_shards(placed.rows, output, placed.order, placed.shards, seqlen)
+    result = finish_job(spark, output, per_file, chunk_size, seqlen, tokenizer, input_json, output_json)
     result.rejects = seen.get["rejects"]
     result.work = work
     return result
-
-
-def _finish(
-    spark: SparkSession, output: str, per_file: DataFrame, chunk_size: int, seqlen: int, tokenizer: str,
-    input_json: str | None, output_json: str | None,
-) -> JobResult:
-    summary = run_summary(per_file, read_manifest(spark, output), chunk_size).first().asDict()
-    if summary["num_sequences"] != summary["contexts"]:
-        raise RuntimeError(f"{summary['num_sequences']} contexts written, {summary['contexts']} expected")
-    card, warnings = finalize_card(spark, input_json, output_json, output, seqlen, tokenizer)
-    return JobResult(summary, card, warnings)

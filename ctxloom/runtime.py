@@ -79,6 +79,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store(df: DataFrame, path: str) -> DataFrame:
+    """Write a table once and go on from the written copy."""
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def spread_small(df: DataFrame) -> DataFrame:
     """Deal the rows of a small table out to all cores; leave anything larger where it lies.
 

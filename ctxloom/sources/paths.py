@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 _READ_BYTES = 4 << 20
 _CODECS = {"gz": "gzip", "zst": "zstd", "zstd": "zstd"}
+COMPRESSED = r"\.(gz|zst|zstd)$"
 
 
 def decoded_path(uri: Column) -> Column:

@@ -112,12 +112,35 @@ def test_llama3_counts_no_bos(spark, corpus, tmp_path, byte_file):
 
 
 def test_broadcasts_can_be_refused(spark, corpus, tmp_path, monkeypatch):
-    monkeypatch.setattr("ctxloom.plans.tokenize_shuffle.BROADCAST_LIMIT", -1)
+    monkeypatch.setattr("ctxloom.plans.common.BROADCAST_LIMIT", -1)
     out = str(tmp_path / "out")
     tokenize_shuffle(spark, corpus, out, encode_bytes, seqlen=8, chunk_size=4)
     assert contexts_of(written(out)) == expected(8)
 
 
+@pytest.mark.parametrize("rows_per_block", [None, 3])
+def test_split_files_keep_their_order(spark, tmp_path, rows_per_block):
+    """A plain file of several splits beside a compressed one."""
+    (tmp_path / "in").mkdir()
+    texts = [f"{i} " + "y" * (i % 23) for i in range(400)]
+    data = "".join(json.dumps({"text": t}) + "\n" for t in texts).encode()
+    (tmp_path / "in" / "p.jsonl").write_bytes(data)
+    (tmp_path / "in" / "z.jsonl.gz").write_bytes(gzip.compress(data))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        out = str(tmp_path / "o")
+        tokenize_shuffle(
+            spark, str(tmp_path / "in"), out, encode_bytes, seqlen=50, chunk_size=100, rows_per_block=rows_per_block
+        )
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    stream = [t for text in texts for t in [*text.encode(), 0]]
+    stream += [50256] * (50 - len(stream) % 50)
+    want = [tuple(stream[i : i + 50]) for i in range(0, len(stream), 50)]
+    assert contexts_of(written(out)) == sorted(want * 2)
+
+
 def test_drop_counts_rejects(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "x.jsonl").write_text('{"text":"ab"}\n{bad\n\n{"text":"cde"}\n')
@@ -130,6 +153,16 @@ def test_drop_counts_rejects(spark, tmp_path):
     assert not os.path.exists(tmp_path / "p" / "manifest.jsonl")
 
 
+def test_only_empty_files(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.jsonl").write_bytes(b"")
+    (tmp_path / "in" / "b.jsonl.gz").write_bytes(gzip.compress(b""))
+    out = str(tmp_path / "o")
+    result = tokenize_shuffle(spark, str(tmp_path / "in"), out, encode_bytes, seqlen=4)
+    assert contexts_of(written(out)) == [(50256,) * 4] * 2
+    assert result.summary["docs"] == 0 and result.summary["token_count"] == 8
+
+
 def test_output_is_never_mixed(spark, corpus, tmp_path):
     out = str(tmp_path / "out")
     tokenize_shuffle(spark, corpus, out, encode_bytes, seqlen=8)

@@ -34,7 +34,7 @@ def staged(spark, sf):
 
 
 def test_tokens_reach_their_shard_unshuffled(staged):
-    ready, _ = shard_pieces(*staged, entry.RULES, 64, 16, 1)
+    ready = shard_pieces(*staged, entry.RULES, 64, 16, 1).rows
     columns = exchanges(ready)
     assert columns and not any("tokens" in c for c in columns)
 
