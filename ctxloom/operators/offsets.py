@@ -27,19 +27,15 @@ def range_bases(totals: DataFrame, levels: list[str]) -> DataFrame:
 
     ``levels`` is the key path, file first. Each window covers one parent's children only.
     """
-    bases = totals
+    bases = None
     for depth in range(1, len(levels)):
-        parent, child = levels[:depth], levels[depth]
-        here = levels[: depth + 1]
-        if depth == len(levels) - 1:
-            part = totals.withColumn("_part", _before("total", parent, child)).select(*here, "_part")
-        else:
-            rolled = totals.groupBy(*here).agg(F.sum("total").alias("total"))
-            part = rolled.withColumn("_part", _before("total", parent, child)).select(*here, "_part")
-        if depth == 1:
-            bases = part.withColumnRenamed("_part", "base")
-        else:
-            bases = part.join(bases, parent).select(*here, (F.col("base") + F.col("_part")).alias("base"))
+        parent, here = levels[:depth], levels[: depth + 1]
+        rows = totals if here == levels else totals.groupBy(*here).agg(F.sum("total").alias("total"))
+        part = rows.select(*here, _before("total", parent, levels[depth]).alias("_part"))
+        base = F.col("_part")
+        if bases is not None:
+            part, base = part.join(bases, parent), F.col("base") + F.col("_part")
+        bases = part.select(*here, base.alias("base"))
     return bases
 
 

@@ -48,9 +48,7 @@ class _OpenShard:
         self.shard, self.count = shard, 0
         self.system, inner = open_fs(folder)
         self.final = f"{inner}/shard_{shard:08d}.tar"
-        # Object stores show an upload only once it is closed; elsewhere a rename does the same.
-        local = isinstance(self.system, pafs.LocalFileSystem)
-        self.temp = f"{inner}/.shard_{shard:08d}.{uuid.uuid4().hex}" if local else self.final
+        self.temp = f"{inner}/.shard_{shard:08d}.{uuid.uuid4().hex}"
         self.out = self.system.open_output_stream(self.temp, compression=None)
         self.tar = tarfile.open(fileobj=self.out, mode="w|", format=tarfile.GNU_FORMAT)
 
@@ -64,17 +62,22 @@ class _OpenShard:
     def close(self) -> None:
         self.tar.close()
         self.out.close()
-        if self.temp != self.final:
+        try:
             self.system.move(self.temp, self.final)
+        except OSError:
+            # Not every file system moves over an existing file; an earlier attempt wrote the same bytes.
+            if self.system.get_file_info(self.final).type != pafs.FileType.File:
+                raise
+            self.system.delete_file(self.temp)
 
 
 class ShardTarWriter(DataSourceArrowWriter):
     """Takes rows sorted by shard and member order, each shard in one task.
 
     Columns: ``shard``, ``name`` and either ``payload`` (one row per member) or ``ids`` and ``n``:
-    comma-separated ids and their number, where rows in turn with one name are pieces of a context. A task attempt that is run twice writes the same
-    bytes under the same names, so retries and speculation are harmless. The manifest is the mark of
-    a complete output.
+    comma-separated ids and their number, where rows in turn with one name are pieces of a context.
+    A task attempt that is run twice writes the same bytes under the same names, so retries and
+    speculation are harmless. The manifest is the mark of a complete output.
     """
 
     def __init__(self, folder: str, fields: list[str], seqlen: int | None):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ctxloom.operators.packing import check_positive
@@ -11,7 +11,7 @@ MANIFEST_NAME = "manifest.jsonl"
 MANIFEST_SCHEMA = "shard string, num_sequences bigint"
 
 
-def shard_stem(shard) -> F.Column:
+def shard_stem(shard: Column) -> Column:
     return F.format_string("shard_%08d", shard)
 
 

@@ -70,6 +70,11 @@ def index_shards(
     return list_sized(spark, paths, ext).select("file").mapInArrow(_index_batches(range_bytes), RANGE_SCHEMA)
 
 
+def _member_batch(cols: list[list]) -> pa.RecordBatch:
+    arrays = [pa.array(values, kind) for values, kind in zip(cols, _MEMBER_ARROW.types)]
+    return pa.RecordBatch.from_arrays(arrays, schema=_MEMBER_ARROW)
+
+
 def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cols: list[list] = [[], [], [], []]
     held = 0
@@ -91,9 +96,9 @@ def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                         col.append(value)
                     pos, held = pos + 1, held + len(payload)
                     if held >= _FLUSH_BYTES:
-                        yield pa.RecordBatch.from_arrays(list(map(pa.array, cols, _MEMBER_ARROW.types)), schema=_MEMBER_ARROW)
+                        yield _member_batch(cols)
                         cols, held = [[], [], [], []], 0
-    yield pa.RecordBatch.from_arrays(list(map(pa.array, cols, _MEMBER_ARROW.types)), schema=_MEMBER_ARROW)
+    yield _member_batch(cols)
 
 
 def read_ranges(ranges: DataFrame) -> DataFrame:
