@@ -7,11 +7,8 @@ from pyspark.sql import functions as F
 
 from ctxloom.functions.keys import key_expr
 from ctxloom.functions.presets import NEOX
-from ctxloom.operators.cascade import cascade_shards
 from ctxloom.operators.packing import check_positive
-from ctxloom.operators.shuffle import enumerate_contexts, locate_shards, lookup_bytes, shard_lookup
-from ctxloom.plans import common
-from ctxloom.plans.common import JobResult, Placement, finish_job
+from ctxloom.plans.common import JobResult, Placement, finish_job, place_rows
 from ctxloom.runtime import scratch_path, store
 from ctxloom.sinks.shard_tar import write_shards
 from ctxloom.sources.listing import resolve_inputs
@@ -27,16 +24,9 @@ def member_shards(
     ``counts`` (file, contexts) decides where each member goes, so a payload moves once.
     """
     contexts = counts.agg(F.coalesce(F.sum("contexts"), F.lit(0))).first()[0]
-    shards = -(-contexts // chunk_size)
-    if shuffle == "global":
-        keyed = members.select(key_expr(seed, "file", "ctx").alias("key"), "name", "payload")
-        lookup = shard_lookup(counts, seed, chunk_size)
-        placed = locate_shards(keyed, lookup, lookup_bytes(contexts, chunk_size) <= common.BROADCAST_LIMIT)
-        return Placement(placed, ("key",), shards)
-    if shuffle != "cells":
-        raise ValueError(f"unknown shuffle: {shuffle}")
-    placing = cascade_shards(enumerate_contexts(counts), n_cells, chunk_size, seed)
-    return Placement(members.join(placing.select("file", "ctx", "shard", "idx"), ["file", "ctx"]), ("idx",), shards)
+    keyed = members.select(key_expr(seed, "file", "ctx").alias("key"), "name", "payload")
+    placed, order = place_rows(keyed, counts, contexts, chunk_size, seed, shuffle, n_cells)
+    return Placement(placed, (order,), -(-contexts // chunk_size))
 
 
 def shuffle_shards(

@@ -15,13 +15,11 @@ from ctxloom.functions.arith import int_div
 from ctxloom.functions.keys import key_expr
 from ctxloom.functions.presets import NEOX, Preset, preset
 from ctxloom.operators.accounting import stats_from_totals
-from ctxloom.operators.cascade import cascade_shards
 from ctxloom.operators.encode import Vocab
 from ctxloom.operators.packing import check_positive, pad_pieces
-from ctxloom.operators.shuffle import enumerate_contexts, locate_shards, lookup_bytes, shard_lookup
 from ctxloom.operators.streams import arrange_blocks, block_streams, block_totals, stream_pieces
 from ctxloom.plans import common
-from ctxloom.plans.common import JobResult, Placement, finish_job
+from ctxloom.plans.common import JobResult, Placement, finish_job, place_rows
 from ctxloom.runtime import scratch_path, store
 from ctxloom.sinks.shard_tar import write_shards
 from ctxloom.sources.documents import check_records, documents_of, read_lines
@@ -70,20 +68,11 @@ def shard_pieces(
     pieces = stream_pieces(streams, totals, seqlen, broadcast=block_bytes <= common.BROADCAST_LIMIT)
     padding = pad_pieces(per_file, seqlen, rules.pad).drop("is_pad")
     pieces = pieces.unionByName(padding)
-    if shuffle == "global":
-        keyed = pieces.select(key_expr(seed, "file", "ctx").alias("key"), "offset", "tokens")
-        lookup = shard_lookup(per_file.select("file", "contexts"), seed, chunk_size)
-        fits = lookup_bytes(contexts, chunk_size) <= common.BROADCAST_LIMIT
-        placed = locate_shards(keyed, lookup, fits)
-        order = ("name", "offset")
-    elif shuffle == "cells":
-        placing = cascade_shards(enumerate_contexts(per_file.select("file", "contexts")), n_cells, chunk_size, seed)
-        placed = pieces.join(placing.select("file", "ctx", "key", "shard", "idx"), ["file", "ctx"])
-        order = ("idx", "offset")
-    else:
-        raise ValueError(f"unknown shuffle: {shuffle}")
+    keyed = pieces.select(key_expr(seed, "file", "ctx").alias("key"), "offset", "tokens")
+    counts = per_file.select("file", "contexts")
+    placed, order = place_rows(keyed, counts, contexts, chunk_size, seed, shuffle, n_cells)
     named = placed.withColumn("name", F.concat("key", F.lit(MEMBER_SUFFIX)))
-    return Placement(named, order, -(-contexts // chunk_size))
+    return Placement(named, (order, "offset"), -(-contexts // chunk_size))
 
 
 def tokenize_shuffle(

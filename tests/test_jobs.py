@@ -111,10 +111,11 @@ def test_llama3_counts_no_bos(spark, corpus, tmp_path, byte_file):
     assert result.summary["token_count"] == len(want) * 8 - result.summary["docs"]
 
 
-def test_broadcasts_can_be_refused(spark, corpus, tmp_path, monkeypatch):
+@pytest.mark.parametrize("shuffle", ["global", "cells"])
+def test_broadcasts_can_be_refused(spark, corpus, tmp_path, monkeypatch, shuffle):
     monkeypatch.setattr("ctxloom.plans.common.BROADCAST_LIMIT", -1)
     out = str(tmp_path / "out")
-    tokenize_shuffle(spark, corpus, out, encode_bytes, seqlen=8, chunk_size=4)
+    tokenize_shuffle(spark, corpus, out, encode_bytes, seqlen=8, chunk_size=4, shuffle=shuffle)
     assert contexts_of(written(out)) == expected(8)
 
 
@@ -268,3 +269,15 @@ def test_command_line(spark, corpus, tmp_path, byte_file, capsys):
     main(["--input", out, "--output", again, "--shuffle-only", "--num-local-cells", "16"])
     assert contexts_of(written(again)) == expected(8)
     assert '"shards": 1' in capsys.readouterr().out
+
+
+def test_inputs_without_files(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for job in (
+        lambda out: tokenize_shuffle(spark, str(tmp_path / "in"), out, encode_bytes, seqlen=4),
+        lambda out: shuffle_shards(spark, str(tmp_path / "in"), out),
+    ):
+        out = str(tmp_path / f"o{len(os.listdir(tmp_path))}")
+        assert job(out).summary["shards"] == 0
+        assert "manifest.jsonl" in os.listdir(out)
+        assert written(out) == {}
