@@ -7,6 +7,7 @@ first let Spark write the table out as files in the shared folder.
 from __future__ import annotations
 
 import base64
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -440,7 +441,22 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in QUERIES}
+    own = {query.__name__: query for query in QUERIES}
+    if _present("ctxloom.llm"):
+        from ctxloom.llm.queries import llm_queries
+
+        own |= llm_queries()
+    if _present("corpus_pipeline"):
+        import corpus_pipeline
+
+        own["pipeline"] = corpus_pipeline.run
+    return own
+
+
+def _present(module: str) -> bool:
+    """Whether a part that can be left out is there. A bare folder, such as one of old byte code, is not."""
+    found = importlib.util.find_spec(module)
+    return found is not None and found.origin is not None
 
 
 # ---------------------------------------------------------------- oracles
@@ -596,6 +612,20 @@ _JOB_PLACED = f"""{_JOB},
 
 
 def oracle_sql() -> dict[str, str]:
+    own = _own_oracles()
+    if _present("ctxloom.llm"):
+        from ctxloom.llm.sql import llm_sql
+
+        own |= llm_sql()
+    if _present("corpus_pipeline"):
+        import corpus_pipeline
+
+        if corpus_pipeline.ORACLE_SQL is not None:
+            own["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return own
+
+
+def _own_oracles() -> dict[str, str]:
     account_sums = ", ".join(
         f"sum({c})::BIGINT AS {c}"
         for c in ("docs", "text_tokens", "eot_tokens", "bos_tokens", "pad_tokens", "contexts", "token_count")
