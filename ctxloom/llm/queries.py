@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ctxloom.llm.bpe import decode_documents, encode_documents
 from ctxloom.llm.common import read_table
 from ctxloom.llm.decontaminate import find_contamination
 from ctxloom.llm.simhash import simhash_components
+from ctxloom.llm.suffix_dedup import remove_repeats
 from ctxloom.llm.token_count import count_tokens
-from ctxloom.llm.vocabularies import vocabulary_text
+from ctxloom.llm.vocabularies import pretoken_pattern, read_ranks, vocabulary_text
 
 TOKEN_LIMIT = 2048
 
@@ -35,6 +37,25 @@ def op7_token_count(spark: SparkSession, sf: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = remove_repeats(read_table(spark, sf, "documents"))
+    n_removed = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, span: n + span[1] - span[0])
+    return found.select(
+        "doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op9_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    ranks = read_ranks("byte_bpe_50k.tiktoken")
+    encoded = encode_documents(read_table(spark, sf, "documents"), ranks, pretoken_pattern())
+    return decode_documents(encoded, ranks).select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op4_simhash, op6_decontaminate, op7_token_count]
+    own = [op4_simhash, op6_decontaminate, op7_token_count, op8_suffix_dedup, op9_bpe]
     return {q.__name__: q for q in own}
