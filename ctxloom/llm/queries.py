@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ctxloom.llm.bpe import decode_documents, encode_documents
 from ctxloom.llm.common import read_table
 from ctxloom.llm.decontaminate import find_contamination
+from ctxloom.llm.langid import held_out, identify, train
 from ctxloom.llm.simhash import simhash_components
 from ctxloom.llm.suffix_dedup import remove_repeats
 from ctxloom.llm.token_count import count_tokens
@@ -18,6 +19,13 @@ from ctxloom.llm.vocabularies import pretoken_pattern, read_ranks, vocabulary_te
 TOKEN_LIMIT = 2048
 
 
+def op1_langid(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents")
+    model = train(docs.filter(~held_out(F.col("doc_id"))), read_ranks("byte_bpe_multi_50k.tiktoken"))
+    found = identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash_components(read_table(spark, sf, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -57,5 +65,5 @@ def op9_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op4_simhash, op6_decontaminate, op7_token_count, op8_suffix_dedup, op9_bpe]
+    own = [op1_langid, op4_simhash, op6_decontaminate, op7_token_count, op8_suffix_dedup, op9_bpe]
     return {q.__name__: q for q in own}
