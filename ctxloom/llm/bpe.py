@@ -21,12 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
-from ctxloom.llm.common import stored, texts, with_doc_id
+from ctxloom.llm.common import bucketed_by_block, texts, with_doc_id
 from ctxloom.runtime import ship_package
 
-BLOCK_CHARS = 16 << 20
+BLOCK_CHARS = 8 << 20
 MAX_VOCABULARY_BYTES = 64 << 20
-REMEMBERED_WORDS = 1 << 20
 _PLACES = -1  # the bucket of rows that hold a block's places
 
 
@@ -154,11 +153,15 @@ def _exploded(docs: DataFrame, pattern: str, n_buckets: int, block_chars: int) -
 
 
 def _encoded_words(words: DataFrame, ranks) -> DataFrame:
-    """(block, bucket, n, size, data): for each word of the row the number of its ids, then all ids."""
+    """(block, bucket, n, size, data): for each word of the row the number of its ids, then all ids.
+
+    Rows come sorted by bucket, and the words of one bucket are remembered until the next.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ranks.value
         known: dict[bytes, list[int]] = {}
+        now = None
         for batch in batches:
             out = []
             for row in batch.to_pylist():
@@ -166,8 +169,8 @@ def _encoded_words(words: DataFrame, ranks) -> DataFrame:
                 sizes = np.frombuffer(raw, "<u4", row["n"])
                 ends = (np.cumsum(sizes, dtype=np.int64) + 4 * row["n"]).tolist()
                 begins = [4 * row["n"], *ends[:-1]]
-                if len(known) > REMEMBERED_WORDS:
-                    known.clear()
+                if row["bucket"] != now:
+                    known, now = {}, row["bucket"]
                 lists = []
                 for a, b in zip(begins, ends, strict=True):
                     word = raw[a:b]
@@ -194,49 +197,43 @@ def _from_planes(raw: bytes, at: int, n: int) -> np.ndarray:
 
 
 def _reassembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A block's rows come together, its places first and then its words' ids by bucket."""
-    head: dict | None = None
-    lists: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def documents(kind: pa.DataType) -> Iterator[pa.RecordBatch]:
-        raw = _spread(head["data"], head["size"])
-        buckets = _from_planes(raw, 0, head["n"])
-        codes = _from_planes(raw, 4 * head["n"], sum(head["counts"]))
-        order = np.argsort(buckets, kind="stable")
-        none = np.zeros(0, np.uint32)
-        sizes_by_bucket = np.concatenate([none, *(s for s, _ in lists)])
-        flat = np.concatenate([none, *(i for _, i in lists)])
-        begins = np.empty(len(order), np.int64)
-        sizes = np.empty(len(order), np.int64)
-        begins[order] = np.cumsum(sizes_by_bucket, dtype=np.int64) - sizes_by_bucket
-        sizes[order] = sizes_by_bucket
-        ends = np.cumsum(head["counts"]).tolist()
-        # Documents in parts, so that what goes out at once stays small however large the block.
-        at, first = 0, 0
-        for k, end in enumerate(ends):
-            if end - at < 1 << 20 and k + 1 < len(ends):
-                continue
-            own = codes[at:end]
-            n = sizes[own]
-            cuts = np.concatenate([[0], np.cumsum(n)])
-            ids = flat[np.repeat(begins[own] - cuts[:-1], n) + np.arange(cuts[-1])]
-            borders = cuts[np.array([0, *(e - at for e in ends[first : k + 1])])]
-            tokens = pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(ids.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([pa.array(head["ids"][first : k + 1], kind), tokens], ["doc_id", "ids"])
-            at, first = end, k + 1
-
+    """A row holds a block's places and, by bucket, the ids of its words."""
     for batch in batches:
         kind = batch.schema.field("ids").type.value_type
-        for row in batch.to_pylist():
-            if row["bucket"] == _PLACES:
-                if head is not None:
-                    yield from documents(kind)
-                head, lists = row, []
-            else:
-                raw = _spread(row["data"], row["size"])
-                lists.append((np.frombuffer(raw, "<u4", row["words"]), _from_planes(raw, 4 * row["words"], row["n"])))
-    if head is not None:
-        yield from documents(kind)
+        for k in range(batch.num_rows):
+            yield from _documents(batch.slice(k, 1).to_pylist()[0], kind)
+
+
+def _documents(block: dict, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+    raw = _spread(block["data"], block["size"])
+    buckets = _from_planes(raw, 0, block["n"])
+    codes = _from_planes(raw, 4 * block["n"], sum(block["counts"]))
+    # Words of a bucket were sent in the order of their numbers.
+    order = np.argsort(buckets, kind="stable")
+    lists = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)]
+    for row in sorted(block["encoded"] or (), key=lambda r: r["bucket"]):
+        words = _spread(row["data"], row["size"])
+        lists[0].append(np.frombuffer(words, "<u4", row["words"]))
+        lists[1].append(_from_planes(words, 4 * row["words"], row["n"]))
+    sizes_by_bucket, flat = np.concatenate(lists[0]), np.concatenate(lists[1])
+    begins = np.empty(len(order), np.int64)
+    sizes = np.empty(len(order), np.int64)
+    begins[order] = np.cumsum(sizes_by_bucket, dtype=np.int64) - sizes_by_bucket
+    sizes[order] = sizes_by_bucket
+    ends = np.cumsum(block["counts"]).tolist()
+    # Documents in parts, so that what goes out at once stays small however large the block.
+    at, first = 0, 0
+    for k, end in enumerate(ends):
+        if end - at < 1 << 18 and k + 1 < len(ends):
+            continue
+        own = codes[at:end]
+        n = sizes[own]
+        cuts = np.concatenate([[0], np.cumsum(n)])
+        ids = flat[np.repeat(begins[own] - cuts[:-1], n) + np.arange(cuts[-1])]
+        borders = cuts[np.array([0, *(e - at for e in ends[first : k + 1])])]
+        tokens = pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(ids.astype(np.int32)))
+        yield pa.RecordBatch.from_arrays([pa.array(block["ids"][first : k + 1], kind), tokens], ["doc_id", "ids"])
+        at, first = end, k + 1
 
 
 def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -250,13 +247,12 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, blo
     ship_package(spark)
     table = spark.sparkContext.broadcast(check_vocabulary(ranks))
     n_buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pieces = stored(_exploded(docs, pattern, n_buckets, block_chars), "words")
+    pieces = bucketed_by_block(_exploded(docs, pattern, n_buckets, block_chars))
     words = pieces.filter(F.col("bucket") != _PLACES).select("block", "bucket", "n", "size", "data")
-    encoded = _encoded_words(words.repartition("bucket"), table)
-    places = pieces.filter(F.col("bucket") == _PLACES)
-    both = places.unionByName(encoded, allowMissingColumns=True)
-    together = both.repartition("block").sortWithinPartitions("block", "bucket")
-    return together.mapInArrow(_reassembled, with_doc_id(docs, "ids array<int>"))
+    encoded = _encoded_words(words.repartition("bucket").sortWithinPartitions("bucket"), table)
+    per_block = encoded.groupBy("block").agg(F.collect_list(F.struct("bucket", "n", "size", "data", "words")).alias("encoded"))
+    places = pieces.filter(F.col("bucket") == _PLACES).join(per_block, "block", "left")
+    return places.mapInArrow(_reassembled, with_doc_id(docs, "ids array<int>"))
 
 
 def decode_documents(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:

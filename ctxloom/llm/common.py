@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -33,3 +35,12 @@ def with_doc_id(docs: DataFrame, columns: str) -> StructType:
     """Schema of a result: ``doc_id`` as in ``docs``, then the given columns."""
     rest = StructType.fromDDL(columns)
     return StructType([StructField("doc_id", docs.schema["doc_id"].dataType), *rest.fields])
+
+
+def bucketed_by_block(rows: DataFrame) -> DataFrame:
+    """The rows as a table in the shared folder, bucketed by ``block``, so that joins on it shuffle only their other side."""
+    spark = rows.sparkSession
+    name = f"blocks_{uuid.uuid4().hex}"
+    writer = rows.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block")
+    writer.option("path", scratch_path(spark, "blocks")).saveAsTable(name)
+    return spark.table(name)

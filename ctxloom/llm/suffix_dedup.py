@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
-from ctxloom.llm.common import stored, texts, with_doc_id
-from ctxloom.runtime import scratch_path, ship_package
+from ctxloom.llm.common import bucketed_by_block, stored, texts, with_doc_id
+from ctxloom.runtime import ship_package
 
 LENGTH = 200
 BLOCK_BYTES = 4 << 20
@@ -113,16 +113,6 @@ def _pack(docs: DataFrame, block_bytes: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def _bucketed(blocks: DataFrame) -> DataFrame:
-    """The blocks as a table bucketed by block, so that joins on it shuffle only their small side."""
-    spark = blocks.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"blocks_{uuid.uuid4().hex}"
-    writer = blocks.repartition(n, "block").write.bucketBy(n, "block").sortBy("block")
-    writer.option("path", scratch_path(spark, "blocks")).saveAsTable(name)
-    return spark.table(name)
-
-
 class _Block:
     """One block's bytes and places."""
 
@@ -296,7 +286,8 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
     """
     spark = docs.sparkSession
     ship_package(spark)
-    blocks = _bucketed(_pack(docs, block_bytes))
+    packed = _pack(docs, block_bytes).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "block")
+    blocks = bucketed_by_block(packed)
     total = blocks.select(F.aggregate("sizes", F.lit(0).cast("bigint"), lambda n, x: n + x).alias("n")).agg(F.sum("n")).first()[0]
     n_buckets = 1 + (total or 0) // BUCKET_BYTES
     copies = stored(_copies(blocks), "copies")
