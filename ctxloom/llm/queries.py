@@ -11,6 +11,7 @@ from ctxloom.llm.bpe import decode_documents, encode_documents
 from ctxloom.llm.common import read_table
 from ctxloom.llm.decontaminate import find_contamination
 from ctxloom.llm.langid import held_out, identify, train
+from ctxloom.llm.line_dedup import mark_lines
 from ctxloom.llm.simhash import simhash_components
 from ctxloom.llm.suffix_dedup import remove_repeats
 from ctxloom.llm.token_count import count_tokens
@@ -26,6 +27,14 @@ def op1_langid(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op2_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    marked = mark_lines(read_table(spark, sf, "documents"))
+    return marked.select(
+        F.col("_row.doc_id").alias("doc_id"), "n_lines", F.size("removed").cast("bigint").alias("n_removed"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash_components(read_table(spark, sf, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -65,5 +74,5 @@ def op9_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_langid, op4_simhash, op6_decontaminate, op7_token_count, op8_suffix_dedup, op9_bpe]
+    own = [op1_langid, op2_line_dedup, op4_simhash, op6_decontaminate, op7_token_count, op8_suffix_dedup, op9_bpe]
     return {q.__name__: q for q in own}
