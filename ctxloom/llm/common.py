@@ -21,9 +21,10 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return store(df, scratch_path(df.sparkSession, label))
 
 
-def content_key(*columns: str) -> Column:
-    """128 bits that rows with the same values in these columns share; nulls have a value of their own."""
-    return F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+def wide_hash(*columns) -> tuple[Column, Column]:
+    """128 bits in two longs, the same for rows with the same values in these columns; nulls are values like any other."""
+    kinds = [F.col(c).isNull() for c in columns]
+    return F.xxhash64(*columns, *kinds), F.xxhash64(F.lit("second"), *columns, *kinds)
 
 
 def texts(batch, column: str = "text") -> list[str]:

@@ -11,20 +11,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ctxloom.llm.common import stored
+from ctxloom.llm.common import stored, wide_hash
 
 MIN_CHARS = 20
 _QUARTERS = 4
 
 
-def _wide(*columns) -> tuple[Column, Column]:
-    """128 bits in two longs."""
-    return F.xxhash64(*columns), F.xxhash64(F.lit("second"), *columns)
-
-
 def _keyed(docs: DataFrame) -> DataFrame:
     """(d1, d2, pos, lines, _row): rows with the same doc_id and text have the same key."""
-    d1, d2 = _wide("doc_id", "text")
+    d1, d2 = wide_hash("doc_id", "text")
     packed = docs.select("doc_id", "text", F.struct("*").alias("_row"))
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), d1.alias("hash"))
     return packed.select(d1.alias("d1"), d2.alias("d2"), order.alias("doc"), F.split("text", "\n", -1).alias("lines"), "_row")
@@ -102,7 +97,7 @@ def mark_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """
     keyed = _keyed(docs)
     exploded = keyed.select("d1", "d2", "doc", F.posexplode("lines").alias("no", "line"))
-    h1, h2 = _wide("line")
+    h1, h2 = wide_hash("line")
     placed = exploded.filter(F.char_length("line") >= min_chars).select(
         h1.alias("h1"), h2.alias("h2"), F.struct("doc", "no").alias("pos"), "d1", "d2", "no", "line"
     )

@@ -16,6 +16,7 @@ from ctxloom.llm.simhash import simhash_components
 from ctxloom.llm.suffix_dedup import remove_repeats
 from ctxloom.llm.token_count import count_tokens
 from ctxloom.llm.vocabularies import pretoken_pattern, read_ranks, vocabulary_text
+from ctxloom.llm.weighted_sampling import compare_with_edits, likeness, signature_text
 
 TOKEN_LIMIT = 2048
 
@@ -73,6 +74,15 @@ def op9_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op10_weighted_sampling(spark: SparkSession, sf: str) -> DataFrame:
+    found = compare_with_edits(read_table(spark, sf, "documents"))
+    return found.select(
+        "doc_id", "n_chars", "edited_sha256", signature_text("signature").alias("fingerprint"),
+        signature_text("edited_signature").alias("edited_fingerprint"),
+        likeness("signature", "edited_signature").alias("near_edited"), likeness("signature", "next_signature").alias("near_next"),
+    )
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_langid, op2_line_dedup, op4_simhash, op6_decontaminate, op7_token_count, op8_suffix_dedup, op9_bpe]
+    own = [op1_langid, op2_line_dedup, op4_simhash, op6_decontaminate, op7_token_count, op8_suffix_dedup, op9_bpe, op10_weighted_sampling]
     return {q.__name__: q for q in own}
