@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ctxloom.llm.bpe import decode_documents, encode_documents
+from ctxloom.llm.chat import chain_of_turns, format_branches, read_back
 from ctxloom.llm.common import read_table
 from ctxloom.llm.decontaminate import find_contamination
 from ctxloom.llm.langid import held_out, identify, train
@@ -36,6 +37,19 @@ def op2_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op3_chat_format(spark: SparkSession, sf: str) -> DataFrame:
+    table = read_table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    text = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    back = read_back(format_branches(chain_of_turns(table.unionByName(extra))))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        F.col("conv").alias("conv_id"), "n_turns", F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.char_length("loss_text").cast("bigint").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
 def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash_components(read_table(spark, sf, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -84,5 +98,5 @@ def op10_weighted_sampling(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_langid, op2_line_dedup, op4_simhash, op6_decontaminate, op7_token_count, op8_suffix_dedup, op9_bpe, op10_weighted_sampling]
+    own = [op1_langid, op2_line_dedup, op3_chat_format, op4_simhash, op6_decontaminate, op7_token_count, op8_suffix_dedup, op9_bpe, op10_weighted_sampling]
     return {q.__name__: q for q in own}

@@ -50,5 +50,22 @@ def _line_dedup(least: int) -> str:
         FROM d LEFT JOIN kept USING (doc_id)"""
 
 
+_ESCAPES = (
+    "length({0}) - length(replace({0}, '\\', '')) + (length({0}) - length(replace({0}, '</turn>', ''))) // 7"
+    " + coalesce(list_sum(list_transform(regexp_extract_all({0}, '#{{3,}}'), lambda r: length(r) - 2)), 0)"
+)
+
+_CHAT = f"""
+    WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+               UNION ALL SELECT -7, k, if(k = 0, 'user', 'assistant'), '\\### Assistant: </turn> ok' FROM range(2) t(k))
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sum(14 + length(text) + {_ESCAPES.format("text")} + length(role) + {_ESCAPES.format("role")}
+               + (length(role) - length(replace(role, ': ', ''))) // 2)::BIGINT AS formatted_chars
+    FROM c GROUP BY conv_id"""
+
+
 def llm_sql() -> dict[str, str]:
-    return {"op2_line_dedup": _line_dedup(20), "op6_decontaminate": _decontaminate(10)}
+    return {"op3_chat_format": _CHAT, "op2_line_dedup": _line_dedup(20), "op6_decontaminate": _decontaminate(10)}
