@@ -13,6 +13,8 @@ from ctxloom.llm.common import read_table
 from ctxloom.llm.decontaminate import find_contamination
 from ctxloom.llm.langid import held_out, identify, train
 from ctxloom.llm.line_dedup import mark_lines
+from ctxloom.llm.pii import KINDS, find_personal_data
+from ctxloom.llm.pii import train as train_pii
 from ctxloom.llm.simhash import simhash_components
 from ctxloom.llm.suffix_dedup import remove_repeats
 from ctxloom.llm.token_count import count_tokens
@@ -55,6 +57,21 @@ def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_pii(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents")
+    found = find_personal_data(docs, train_pii(docs))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 def op6_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     found = find_contamination(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
     n_hit = F.aggregate("hits", F.lit(0).cast("bigint"), lambda n, span: n + span[1] - span[0])
@@ -98,5 +115,5 @@ def op10_weighted_sampling(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_langid, op2_line_dedup, op3_chat_format, op4_simhash, op6_decontaminate, op7_token_count, op8_suffix_dedup, op9_bpe, op10_weighted_sampling]
+    own = [op1_langid, op2_line_dedup, op3_chat_format, op4_simhash, op5_pii, op6_decontaminate, op7_token_count, op8_suffix_dedup, op9_bpe, op10_weighted_sampling]
     return {q.__name__: q for q in own}
