@@ -18,15 +18,15 @@ import pyarrow as pa
 import regex
 import zstandard
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
-from ctxloom.llm.common import bucketed_by_block, texts, with_doc_id
+from ctxloom.llm.common import bucketed_by_block, rows_of, with_doc_id
 from ctxloom.runtime import ship_package
 
 BLOCK_CHARS = 8 << 20
 MAX_VOCABULARY_BYTES = 64 << 20
-_PLACES = -1  # the bucket of rows that hold a block's places
+_PLACES = -1  # the bucket of the row that begins a block's places; the places themselves have those below
+_PART = 1 << 18  # places in a row
 
 
 def check_vocabulary(ranks: dict[bytes, int]) -> dict[bytes, int]:
@@ -115,9 +115,12 @@ def _exploded(docs: DataFrame, pattern: str, n_buckets: int, block_chars: int) -
                 if mine:
                     data = [np.array([len(w) for w in mine], "<u4"), np.frombuffer(b"".join(mine), np.uint8)]
                     out.append((bucket, len(mine), sum(a.nbytes for a in data), _squeeze(*data), None, None))
+            head = _planes(buckets)
+            out.append((_PLACES, len(words), head.nbytes, _squeeze(head), ids, counts))
             flat = np.concatenate(codes) if codes else np.zeros(0, np.uint32)
-            data = [_planes(buckets), _planes(flat)]
-            out.append((_PLACES, len(words), sum(a.nbytes for a in data), _squeeze(*data), ids, counts))
+            for k, at in enumerate(range(0, len(flat), _PART)):
+                part = _planes(flat[at : at + _PART])
+                out.append((_PLACES - 1 - k, len(part[0]), part.nbytes, _squeeze(part), None, None))
             block = uuid.uuid4().hex
             return pa.RecordBatch.from_arrays(
                 [
@@ -131,7 +134,7 @@ def _exploded(docs: DataFrame, pattern: str, n_buckets: int, block_chars: int) -
         total = 0
         for batch in batches:
             kind = batch.column("doc_id").type
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
+            for doc_id, text in rows_of(batch):
                 found = find(text)
                 ids.append(doc_id)
                 counts.append(len(found))
@@ -196,44 +199,32 @@ def _from_planes(raw: bytes, at: int, n: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8, 4 * n, at).reshape(4, n).T).view("<u4").ravel()
 
 
-def _reassembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row holds a block's places and, by bucket, the ids of its words."""
-    for batch in batches:
-        kind = batch.schema.field("ids").type.value_type
-        for k in range(batch.num_rows):
-            yield from _documents(batch.slice(k, 1).to_pylist()[0], kind)
-
-
-def _documents(block: dict, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
-    raw = _spread(block["data"], block["size"])
-    buckets = _from_planes(raw, 0, block["n"])
-    codes = _from_planes(raw, 4 * block["n"], sum(block["counts"]))
+def _reassembled(places: pa.Table, encoded: pa.Table) -> pa.Table:
+    """A block's documents, from its places and, by bucket, the ids of its words."""
+    rows = sorted(places.to_pylist(), key=lambda r: -r["bucket"])
+    head, parts = rows[0], rows[1:]
+    buckets = _from_planes(_spread(head["data"], head["size"]), 0, head["n"])
+    none = np.zeros(0, np.uint32)
+    codes = np.concatenate([none, *(_from_planes(_spread(p["data"], p["size"]), 0, p["n"]) for p in parts)])
     # Words of a bucket were sent in the order of their numbers.
     order = np.argsort(buckets, kind="stable")
-    lists = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)]
-    for row in sorted(block["encoded"] or (), key=lambda r: r["bucket"]):
+    lists = [none], [none]
+    for row in sorted(encoded.to_pylist(), key=lambda r: r["bucket"]):
         words = _spread(row["data"], row["size"])
         lists[0].append(np.frombuffer(words, "<u4", row["words"]))
         lists[1].append(_from_planes(words, 4 * row["words"], row["n"]))
-    sizes_by_bucket, flat = np.concatenate(lists[0]), np.concatenate(lists[1])
+    sizes, flat = np.empty(len(order), np.int64), np.concatenate(lists[1])
+    by_bucket = np.concatenate(lists[0])
     begins = np.empty(len(order), np.int64)
-    sizes = np.empty(len(order), np.int64)
-    begins[order] = np.cumsum(sizes_by_bucket, dtype=np.int64) - sizes_by_bucket
-    sizes[order] = sizes_by_bucket
-    ends = np.cumsum(block["counts"]).tolist()
-    # Documents in parts, so that what goes out at once stays small however large the block.
-    at, first = 0, 0
-    for k, end in enumerate(ends):
-        if end - at < 1 << 18 and k + 1 < len(ends):
-            continue
-        own = codes[at:end]
-        n = sizes[own]
-        cuts = np.concatenate([[0], np.cumsum(n)])
-        ids = flat[np.repeat(begins[own] - cuts[:-1], n) + np.arange(cuts[-1])]
-        borders = cuts[np.array([0, *(e - at for e in ends[first : k + 1])])]
-        tokens = pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(ids.astype(np.int32)))
-        yield pa.RecordBatch.from_arrays([pa.array(block["ids"][first : k + 1], kind), tokens], ["doc_id", "ids"])
-        at, first = end, k + 1
+    begins[order] = np.cumsum(by_bucket, dtype=np.int64) - by_bucket
+    sizes[order] = by_bucket
+    n = sizes[codes]
+    cuts = np.concatenate([[0], np.cumsum(n)])
+    ids = flat[np.repeat(begins[codes] - cuts[:-1], n) + np.arange(cuts[-1])]
+    borders = cuts[np.concatenate([[0], np.cumsum(head["counts"], dtype=np.int64)])]
+    tokens = pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(ids.view(np.int32)))
+    kind = places.schema.field("ids").type.value_type
+    return pa.Table.from_arrays([pa.array(head["ids"], kind), tokens], ["doc_id", "ids"])
 
 
 def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -248,11 +239,10 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, blo
     table = spark.sparkContext.broadcast(check_vocabulary(ranks))
     n_buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     pieces = bucketed_by_block(_exploded(docs, pattern, n_buckets, block_chars))
-    words = pieces.filter(F.col("bucket") != _PLACES).select("block", "bucket", "n", "size", "data")
+    words = pieces.filter("bucket >= 0").select("block", "bucket", "n", "size", "data")
     encoded = _encoded_words(words.repartition("bucket").sortWithinPartitions("bucket"), table)
-    per_block = encoded.groupBy("block").agg(F.collect_list(F.struct("bucket", "n", "size", "data", "words")).alias("encoded"))
-    places = pieces.filter(F.col("bucket") == _PLACES).join(per_block, "block", "left")
-    return places.mapInArrow(_reassembled, with_doc_id(docs, "ids array<int>"))
+    places = pieces.filter("bucket < 0").groupBy("block").cogroup(encoded.groupBy("block"))
+    return places.applyInArrow(_reassembled, with_doc_id(docs, "ids array<int>"))
 
 
 def decode_documents(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:

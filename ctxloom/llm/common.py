@@ -32,6 +32,13 @@ def texts(batch, column: str = "text") -> list[str]:
     return [t or "" for t in batch.column(column).to_pylist()]
 
 
+def rows_of(batch, step: int = 256):
+    """(doc_id, text) of an Arrow batch, taken out a few rows at a time; null texts read as empty."""
+    for at in range(0, batch.num_rows, step):
+        part = batch.slice(at, step)
+        yield from zip(part.column("doc_id").to_pylist(), texts(part), strict=True)
+
+
 def with_doc_id(docs: DataFrame, columns: str) -> StructType:
     """Schema of a result: ``doc_id`` as in ``docs``, then the given columns."""
     rest = StructType.fromDDL(columns)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
-from ctxloom.llm.common import bucketed_by_block, stored, texts, with_doc_id
+from ctxloom.llm.common import bucketed_by_block, rows_of, stored, with_doc_id
 from ctxloom.runtime import ship_package
 
 LENGTH = 200
@@ -97,7 +97,7 @@ def _pack(docs: DataFrame, block_bytes: int) -> DataFrame:
         total = 0
         for batch in batches:
             kind = batch.column("doc_id").type
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
+            for doc_id, text in rows_of(batch):
                 ids.append(doc_id)
                 own.append(text.encode("utf-8", "replace"))
                 total += len(own[-1])
