@@ -15,6 +15,7 @@ from ctxloom.llm.common import stored, wide_hash
 
 MIN_CHARS = 20
 _QUARTERS = 4
+_SLOTS = 1 << 20
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -33,33 +34,47 @@ def _class(n: Column) -> Column:
 
 
 def _gap_keys(lines: DataFrame, by_length: bool) -> DataFrame:
-    """(key, h1, h2): hashes of the line without one quarter, counted in quarters of the length class.
+    """(key, h1): hashes of the line without one quarter, counted in quarters of the length class.
 
     An edit lies in one of the quarters, so two lines one edit apart agree before and after it. A length
     that begins a class also gets the keys of the class before, where a line of one character less is.
     ``by_length`` puts the length of the longer line of a pair into the key.
     """
-    n = F.col("n")
+    n = F.char_length("line")
     if by_length:
         classes = F.array(n, n + 1)
         quarter = F.floor((F.col("c") - 1) / _QUARTERS)
     else:
         classes = F.array_distinct(F.array(_class(n), _class(n - 1)))
         quarter = F.floor(F.col("c") / _QUARTERS)
-    spread = lines.select("h1", "h2", "line", F.explode(classes.cast("array<bigint>")).alias("c"))
-    spread = spread.select("h1", "h2", "line", "c", F.explode(F.sequence(F.lit(0), F.lit(_QUARTERS - 1))).alias("gap"))
+    spread = lines.select("h1", "line", F.explode(classes.cast("array<bigint>")).alias("c"))
+    spread = spread.select("h1", "line", "c", F.explode(F.sequence(F.lit(0), F.lit(_QUARTERS - 1))).alias("gap"))
     before = (quarter * F.col("gap")).cast("int")
     after = (quarter * (_QUARTERS - 1 - F.col("gap"))).cast("int")
     key = F.xxhash64("c", "gap", F.left("line", before), F.when(after > 0, F.right("line", after)).otherwise(F.lit("")))
-    return spread.select(key.alias("key"), "h1", "h2")
+    return spread.select(key.alias("key"), "h1")
 
 
 def _sharing(lines: DataFrame, by_length: bool) -> DataFrame:
-    """The lines that share a key with another one."""
+    """(h1) of the lines that share a key with a different one."""
     keys = _gap_keys(lines, by_length)
     met = keys.groupBy("key").agg(F.min("h1").alias("least"), F.max("h1").alias("most")).filter("least <> most")
-    names = keys.join(met.select("key"), "key").select("h1", "h2").distinct()
-    return lines.join(names, ["h1", "h2"])
+    return keys.join(met.select("key"), "key").select("h1").distinct()
+
+
+def _candidates(lines: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(h1, h2, line, n, first): the different lines that can have one within an edit.
+
+    Their hashes are found without moving a text. A filter of fixed size then holds back most other
+    lines where they are read, before texts are gathered and the rest is left out by a join.
+    """
+    hashes = stored(_sharing(lines, False), "sharing")
+    slot = F.pmod("h1", F.lit(_SLOTS)).alias("slot")
+    slots = F.broadcast(hashes.select(slot).distinct())  # never more than _SLOTS numbers
+    some = lines.withColumn("slot", slot).join(slots, "slot", "left_semi")
+    some = some.groupBy("h1", "h2").agg(F.any_value("line").alias("line")).join(hashes, "h1", "left_semi")
+    some = stored(some.join(firsts, ["h1", "h2"]).withColumn("n", F.char_length("line")), "sharing")
+    return stored(some.join(_sharing(some, True), "h1", "left_semi"), "sharing")
 
 
 def _near_earlier(lines: DataFrame) -> DataFrame:
@@ -98,14 +113,12 @@ def mark_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     keyed = _keyed(docs)
     exploded = keyed.select("d1", "d2", "doc", F.posexplode("lines").alias("no", "line"))
     h1, h2 = wide_hash("line")
-    placed = exploded.filter(F.char_length("line") >= min_chars).select(
-        h1.alias("h1"), h2.alias("h2"), F.struct("doc", "no").alias("pos"), "d1", "d2", "no", "line"
-    )
-    firsts = placed.groupBy("h1", "h2").agg(F.min("pos").alias("first"), F.any_value("line").alias("line"))
-    firsts = stored(firsts.withColumn("n", F.char_length("line")), "lines")
-    near = _near_earlier(stored(_sharing(_sharing(firsts, False), True), "sharing"))
-    known = firsts.select("h1", "h2", "first").join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left")
-    gone = placed.drop("line").join(known, ["h1", "h2"]).filter("near or pos > first")
+    lines = exploded.filter(F.char_length("line") >= min_chars).withColumns({"h1": h1, "h2": h2})
+    placed = lines.select("h1", "h2", F.struct("doc", "no").alias("pos"), "d1", "d2", "no")
+    firsts = stored(placed.groupBy("h1", "h2").agg(F.min("pos").alias("first")), "lines")
+    near = _near_earlier(_candidates(lines.select("h1", "h2", "line"), firsts))
+    known = firsts.join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left")
+    gone = placed.join(known, ["h1", "h2"]).filter("near or pos > first")
     per_doc = gone.groupBy("d1", "d2").agg(F.collect_set("no").alias("gone"))
     joined = keyed.select("d1", "d2", "lines", "_row").join(per_doc, ["d1", "d2"], "left")
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
