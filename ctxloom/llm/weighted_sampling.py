@@ -63,19 +63,24 @@ def fingerprint_texts(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     One row per different (doc_id, text) of ``docs``; null texts count as empty, and all texts without words
     have the same signature. Other columns are not looked at.
     """
-    unique = _unique(docs)
-    return unique.select("d1", "d2", "doc_id").join(_sketches(unique, ["d1", "d2"], "text", samples), ["d1", "d2"]).drop("d1", "d2")
+    keyed = _keyed(docs)
+    ids = keyed.select("d1", "d2", "doc_id").distinct()
+    return ids.join(_sketches(_texts(keyed), ["d1", "d2"], "text", samples), ["d1", "d2"]).drop("d1", "d2")
 
 
-def _unique(docs: DataFrame) -> DataFrame:
-    """(d1, d2, doc_id, text): repeated rows once, null texts as empty ones, partitioned by the key (d1, d2)."""
+def _keyed(docs: DataFrame) -> DataFrame:
     filled = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     d1, d2 = wide_hash("doc_id", "text")
-    return filled.select(d1.alias("d1"), d2.alias("d2"), "doc_id", "text").dropDuplicates(["d1", "d2"])
+    return filled.select(d1.alias("d1"), d2.alias("d2"), "doc_id", "text")
+
+
+def _texts(keyed: DataFrame) -> DataFrame:
+    """(d1, d2, text): repeated rows once, partitioned by the key. The plan's one shuffle of whole texts, used again wherever this stands."""
+    return keyed.select("d1", "d2", "text").dropDuplicates(["d1", "d2"])
 
 
 def _next_keys(ids: DataFrame) -> DataFrame:
-    """(d1, d2, n1, n2): the document after each, by falling doc_id and then key; the first follows the last.
+    """``ids`` (d1, d2, doc_id, n_chars) with n1, n2: the document after each, by falling doc_id and then key; the first follows the last.
 
     Ids are dealt out by range, numbered in their range, and ranges are joined end to head. No task sees
     more than its range; one row per range says where the next begins.
@@ -83,14 +88,14 @@ def _next_keys(ids: DataFrame) -> DataFrame:
     n = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("doc_id").desc_nulls_last(), F.col("d1").desc(), F.col("d2").desc()]
     dealt = ids.repartitionByRange(n, *order).withColumn("part", F.spark_partition_id())
-    dealt = stored(dealt.select("doc_id", "d1", "d2", "part", F.struct(F.col("doc_id").isNotNull(), "doc_id", "d1", "d2").alias("o")), "order")
+    dealt = stored(dealt.select("doc_id", "d1", "d2", "n_chars", "part", F.struct(F.col("doc_id").isNotNull(), "doc_id", "d1", "d2").alias("o")), "order")
     heads = dealt.groupBy("part").agg(F.max("o").alias("head"))
     follow = heads.select("part", F.expr("lead(head) over (order by part)").alias("head"))
     first = heads.agg(F.max("head").alias("top"))
     follow = follow.crossJoin(F.broadcast(first)).select("part", F.coalesce("head", "top").alias("head"))
     within = dealt.withColumn("ahead", F.expr("lead(o) over (partition by part order by o desc)"))
     joined = within.join(F.broadcast(follow), "part").withColumn("next", F.coalesce("ahead", "head"))
-    return joined.select("d1", "d2", F.col("next.d1").alias("n1"), F.col("next.d2").alias("n2"))
+    return joined.select("d1", "d2", "doc_id", "n_chars", F.col("next.d1").alias("n1"), F.col("next.d2").alias("n2"))
 
 
 def compare_with_edits(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
@@ -100,17 +105,17 @@ def compare_with_edits(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     the first follows the last) in place of the second half, as many as that has, or all there are. Rows as
     in ``fingerprint_texts``; a single document follows itself; no documents give no rows.
     """
-    unique = _unique(docs)
-    following = stored(_next_keys(unique.select("doc_id", "d1", "d2")), "following")
-    half = F.floor(F.char_length("text") / 2).cast("int")
-    wanted = unique.select("d1", "d2", half.alias("half")).join(following, ["d1", "d2"])
-    givers = unique.select(F.col("d1").alias("n1"), F.col("d2").alias("n2"), F.col("text").alias("given"))
-    given = wanted.join(givers, ["n1", "n2"]).select("d1", "d2", F.left("given", "half").alias("given"))
-    edited = F.concat(F.left("text", F.char_length("text") - half), "given")
-    both = unique.join(given, ["d1", "d2"]).withColumn("edited", edited)
-    facts = both.select(
-        "d1", "d2", "doc_id", F.char_length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256")
-    )
+    keyed = _keyed(docs)
+    ids = keyed.select("d1", "d2", "doc_id", F.char_length("text").cast("bigint").alias("n_chars")).distinct()
+    following = stored(_next_keys(ids), "following")
+    half = F.floor(F.col("n_chars") / 2).cast("int")
+    # Each text is cut for the document before it, then meets the piece that it gets itself.
+    before = following.select(F.col("n1").alias("d1"), F.col("n2").alias("d2"), F.col("d1").alias("p1"), F.col("d2").alias("p2"), half.alias("half"))
+    given = _texts(keyed).join(before, ["d1", "d2"]).select(F.col("p1").alias("d1"), F.col("p2").alias("d2"), F.left("text", "half").alias("given"))
+    own = F.char_length("text")
+    both = _texts(keyed).join(given, ["d1", "d2"])
+    both = both.select("d1", "d2", "text", F.concat(F.left("text", own - F.floor(own / 2).cast("int")), "given").alias("edited"))
+    facts = both.select("d1", "d2", F.sha2("edited", 256).alias("edited_sha256"))
     versions = both.select("d1", "d2", F.posexplode(F.array("text", "edited")).alias("kind", "own"))
     sketches = _sketches(versions, ["d1", "d2", "kind"], "own", samples)
     per_doc = sketches.groupBy("d1", "d2").agg(
