@@ -76,7 +76,9 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def _texts(keyed: DataFrame) -> DataFrame:
     """(d1, d2, text): repeated rows once, partitioned by the key. The plan's one shuffle of whole texts, used again wherever this stands."""
-    return keyed.select("d1", "d2", "text").dropDuplicates(["d1", "d2"])
+    # Four times the usual partitions: a task counts all words of its documents in memory.
+    n = 4 * int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return keyed.select("d1", "d2", "text").repartition(n, "d1", "d2").dropDuplicates(["d1", "d2"])
 
 
 def _next_keys(ids: DataFrame) -> DataFrame:
