@@ -219,6 +219,8 @@ class _Scorer:
 
     def scores(self, many: list[str]) -> list[np.ndarray | None]:
         """Log probabilities by language; nothing for texts without letters."""
+        if not self.model.languages:
+            return [None] * len(many)
         if len(self.number) > _REMEMBERED_WORDS:
             self.number, self.table = {}, self.table[:0]
         places, fresh = [], []
@@ -264,7 +266,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
             out = []
             for at in range(0, len(own), 256):
                 for s in scorer.scores(own[at : at + 256]):
-                    if s is None or not names:
+                    if s is None:
                         out.append((UNKNOWN, 0.0))
                         continue
                     best = int(np.argmax(s))
