@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, StructField, StructType
 
-from ctxloom.llm.common import bucketed_by_block, rows_of, with_doc_id
+from ctxloom.llm.common import bucketed_by_block, rows_of, with_doc_id, worker_state
 from ctxloom.runtime import ship_package
 
 BLOCK_CHARS = 8 << 20
@@ -97,6 +97,7 @@ def _exploded(docs: DataFrame, pattern: str, n_buckets: int, block_chars: int) -
     """Rows of two kinds: (block, bucket, n, size, data) words for a bucket, and the block's places with its ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("words", dict)
         find = regex.compile(pattern).findall
         kind = None
         ids: list = []
@@ -163,6 +164,7 @@ def _encoded_words(words: DataFrame, ranks) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ranks.value
+        worker_state("words", dict)
         known: dict[bytes, list[int]] = {}
         now = None
         for batch in batches:
@@ -201,6 +203,7 @@ def _from_planes(raw: bytes, at: int, n: int) -> np.ndarray:
 
 def _reassembled(places: pa.Table, encoded: pa.Table) -> pa.Table:
     """A block's documents, from its places and, by bucket, the ids of its words."""
+    worker_state("words", dict)
     rows = sorted(places.to_pylist(), key=lambda r: -r["bucket"])
     head, parts = rows[0], rows[1:]
     buckets = _from_planes(_spread(head["data"], head["size"]), 0, head["n"])
@@ -220,7 +223,10 @@ def _reassembled(places: pa.Table, encoded: pa.Table) -> pa.Table:
     sizes[order] = by_bucket
     n = sizes[codes]
     cuts = np.concatenate([[0], np.cumsum(n)])
-    ids = flat[np.repeat(begins[codes] - cuts[:-1], n) + np.arange(cuts[-1])]
+    ids = np.empty(cuts[-1], np.uint32)
+    for at in range(0, len(codes), _PART):
+        own, size, cut = codes[at : at + _PART], n[at : at + _PART], cuts[at : at + _PART + 1]
+        ids[cut[0] : cut[-1]] = flat[np.repeat(begins[own] - cut[:-1], size) + np.arange(cut[0], cut[-1])]
     borders = cuts[np.concatenate([[0], np.cumsum(head["counts"], dtype=np.int64)])]
     tokens = pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(ids.view(np.int32)))
     kind = places.schema.field("ids").type.value_type
@@ -259,6 +265,7 @@ def decode_documents(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     table = spark.sparkContext.broadcast(tokens)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("words", dict)
         bytes_of = pa.array(table.value, pa.large_binary())
         for batch in batches:
             ids = batch.column("ids")

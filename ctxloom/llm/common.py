@@ -32,6 +32,17 @@ def texts(batch, column: str = "text") -> list[str]:
     return [t or "" for t in batch.column(column).to_pylist()]
 
 
+_kept: dict = {}
+
+
+def worker_state(key, make):
+    """What a Python worker keeps from task to task. There is one place for it: another operator's tasks clear it."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
 def rows_of(batch, step: int = 256):
     """(doc_id, text) of an Arrow batch, taken out a few rows at a time; null texts read as empty."""
     for at in range(0, batch.num_rows, step):

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ctxloom.llm.common import texts, with_doc_id
+from ctxloom.llm.common import texts, with_doc_id, worker_state
 from ctxloom.runtime import ship_package
 
 WINDOW = 10
@@ -101,6 +101,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     blocks = _blocks(benchmark, window, block_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("patterns", dict)
         kept: list = []
 
         def searchers() -> Iterator[WuManber]:

@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ctxloom.llm.common import stored, texts
+from ctxloom.llm.common import stored, texts, worker_state
 from ctxloom.runtime import ship_package
 
 UNKNOWN = "und"
@@ -236,9 +236,6 @@ class _Scorer:
         return [self.table[p].sum(axis=0) if len(p) else None for p in places]
 
 
-_scorers: dict[str, _Scorer] = {}
-
-
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` put after the other columns; only the text decides.
 
@@ -256,10 +253,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
 
     @F.pandas_udf("struct<lang_pred: string, score: double>")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        if name not in _scorers:
-            _scorers.clear()
-            _scorers[name] = _Scorer(shared.value)
-        scorer = _scorers[name]
+        scorer = worker_state(name, lambda: _Scorer(shared.value))
         names = scorer.model.languages
         for part in parts:
             own = [t if isinstance(t, str) else "" for t in part]

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ctxloom.llm.common import stored, texts, with_doc_id
+from ctxloom.llm.common import stored, texts, with_doc_id, worker_state
 from ctxloom.llm.components import connected_components
 from ctxloom.runtime import ship_package
 
@@ -52,6 +52,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp): one row per row of ``docs``, the fingerprint as a signed long. Null texts count as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("simhash", GolayKeys)
         for batch in batches:
             fps = np.array([fingerprint(t, shingle) for t in texts(batch)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps)], ["doc_id", "fp"])
@@ -217,7 +218,7 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
     """(a, b): links that connect the distinct fingerprints ``fp`` just as all links of up to 4 bits would."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        golay = GolayKeys()
+        golay = worker_state("simhash", GolayKeys)
         for batch in batches:
             column = batch.column("fp").to_numpy()
             for at in range(0, len(column), 4096):

@@ -11,7 +11,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from ctxloom.llm.common import texts, with_doc_id
+from ctxloom.llm.common import texts, with_doc_id, worker_state
 from ctxloom.runtime import ship_package
 
 CACHED_WORDS = 1 << 20
@@ -129,9 +129,6 @@ class TokenCounter:
         return len(parts) - 1 + sum(sum(map(self.counts.__getitem__, self.rules.words(p))) for p in parts)
 
 
-_counters: dict[int, TokenCounter] = {}
-
-
 def count_tokens(docs: DataFrame, tokenizer_json: str) -> DataFrame:
     """(doc_id, n_bytes, n_tokens), one row per row of ``docs``; ``tokenizer_json`` is the vocabulary file's text.
 
@@ -145,11 +142,7 @@ def count_tokens(docs: DataFrame, tokenizer_json: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text = vocabulary.value
-        key = hash(text)
-        if key not in _counters:
-            _counters.clear()
-            _counters[key] = TokenCounter(text)
-        counter = _counters[key]
+        counter = worker_state(("tokens", hash(text)), lambda: TokenCounter(text))
         for batch in batches:
             own = texts(batch)
             sizes = pa.array([len(t.encode("utf-8", "replace")) for t in own], pa.int64())
