@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, StructField, StructType
 
-from ctxloom.llm.common import bucketed_by_block, rows_of, with_doc_id, worker_state
+from ctxloom.llm.common import bucketed_by_block, release_memory, rows_of, with_doc_id, worker_state
 from ctxloom.runtime import ship_package
 
 BLOCK_CHARS = 8 << 20
@@ -204,6 +204,7 @@ def _from_planes(raw: bytes, at: int, n: int) -> np.ndarray:
 def _reassembled(places: pa.Table, encoded: pa.Table) -> pa.Table:
     """A block's documents, from its places and, by bucket, the ids of its words."""
     worker_state("words", dict)
+    release_memory()
     rows = sorted(places.to_pylist(), key=lambda r: -r["bucket"])
     head, parts = rows[0], rows[1:]
     buckets = _from_planes(_spread(head["data"], head["size"]), 0, head["n"])
@@ -278,5 +279,6 @@ def decode_documents(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), ids, pa.array(own, pa.binary())], ["doc_id", "ids", "decoded"]
             )
+        release_memory()
 
     return encoded.select("doc_id", "ids").mapInArrow(run, with_doc_id(encoded, "ids array<int>, decoded binary"))

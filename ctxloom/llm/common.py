@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -35,10 +36,16 @@ def texts(batch, column: str = "text") -> list[str]:
 _kept: dict = {}
 
 
+def release_memory() -> None:
+    """Give back what Arrow keeps for later; idle workers stay alive for a while."""
+    pa.default_memory_pool().release_unused()
+
+
 def worker_state(key, make):
     """What a Python worker keeps from task to task. There is one place for it: another operator's tasks clear it."""
     if key not in _kept:
         _kept.clear()
+        release_memory()
         _kept[key] = make()
     return _kept[key]
 

@@ -27,8 +27,8 @@ ROUNDS = 3
 _SMOOTHING = 0.1
 _LONGEST_PIECE = 16
 _LONGEST_WORD = 64  # letters; longer runs of letters are cut, and segmented part by part
-_CELLS = 1 << 22
-_REMEMBERED_WORDS = 1 << 19
+_CELLS = 1 << 20
+_REMEMBERED_WORDS = 3 << 17
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 
