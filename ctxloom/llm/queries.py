@@ -41,8 +41,10 @@ def op2_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 def op3_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     table = read_table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
-    text = "\\### Assistant: </turn> ok"
-    extra = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("\\### Assistant: </turn> ok").alias("text"),
+    )
     back = read_back(format_branches(chain_of_turns(table.unionByName(extra))))
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return back.select(
