@@ -45,9 +45,12 @@ def _jumps(nodes: DataFrame) -> list[DataFrame]:
             raise ValueError("replies go round in a circle")
         low = steps[-1]
         high = low.select(F.col("conv").alias("h_conv"), F.col("node").alias("h_node"), F.col("up").alias("h_up"), F.col("total").alias("h_total"))
-        met = low["conv"].eqNullSafe(high["h_conv"]) & (low["up"] == high["h_node"])
-        joined = low.join(high, met, "left")
-        steps.append(stored(joined.select("conv", "node", F.col("h_up").alias("up"), (F.col("total") + F.coalesce("h_total", F.lit(0.0))).alias("total")), "jumps"))
+        # Only nodes that are still below their root go on.
+        active = low.filter("up is not null")
+        met = active["conv"].eqNullSafe(high["h_conv"]) & (active["up"] == high["h_node"])
+        total = (F.col("total") + F.coalesce("h_total", F.lit(0.0))).alias("total")
+        further = active.join(high, met, "left").select("conv", "node", F.col("h_up").alias("up"), total)
+        steps.append(stored(further.unionByName(low.filter("up is null")), "jumps"))
     return steps
 
 
