@@ -10,7 +10,7 @@ from ctxloom.functions.presets import NEOX
 from ctxloom.operators.packing import check_positive
 from ctxloom.plans.common import JobResult, Placement, finish_job, place_rows
 from ctxloom.runtime import scratch_path, store
-from ctxloom.sinks.shard_tar import write_shards
+from ctxloom.sinks.shard_tar import check_unused, write_shards
 from ctxloom.sources.listing import resolve_inputs
 from ctxloom.sources.paths import qualified, relative_name
 from ctxloom.sources.shards import TAR_SUFFIX, index_shards, read_ranges
@@ -50,6 +50,7 @@ def shuffle_shards(
     """
     check_positive(seqlen=seqlen, chunk_size=chunk_size, n_cells=n_cells)
     ext = ext or TAR_SUFFIX
+    check_unused(qualified(spark, output))
     parent = resolve_inputs(spark, inputs, ext).parent
     work = qualified(spark, work or scratch_path(spark, "shuffle"))
     ranges = store(index_shards(spark, inputs, ext), f"{work}/ranges")

@@ -21,7 +21,7 @@ from ctxloom.operators.streams import arrange_blocks, block_streams, block_total
 from ctxloom.plans import common
 from ctxloom.plans.common import JobResult, Placement, finish_job, place_rows
 from ctxloom.runtime import scratch_path, store
-from ctxloom.sinks.shard_tar import write_shards
+from ctxloom.sinks.shard_tar import check_unused, write_shards
 from ctxloom.sources.documents import check_records, documents_of, read_lines
 from ctxloom.sources.listing import resolve_inputs, scanned_files
 from ctxloom.sources.paths import COMPRESSED, qualified, relative_name
@@ -106,6 +106,7 @@ def tokenize_shuffle(
     check_positive(seqlen=seqlen, chunk_size=chunk_size, n_cells=n_cells)
     backend = backend or (encoder.backend if isinstance(encoder, Vocab) else "hf")
     rules = preset(tokenizer, backend)
+    check_unused(qualified(spark, output))
     parent = resolve_inputs(spark, inputs, ext).parent
     work = qualified(spark, work or scratch_path(spark, "tokenize"))
 

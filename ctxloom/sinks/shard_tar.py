@@ -153,7 +153,7 @@ class ShardTarSource(DataSource):
         return ShardTarWriter(self.options["path"].rstrip("/"), schema.fieldNames(), int(seqlen) if seqlen else None)
 
 
-def _check_unused(folder: str) -> None:
+def check_unused(folder: str) -> None:
     system, inner = open_fs(folder)
     if system.get_file_info(inner).type == pafs.FileType.NotFound:
         return
@@ -175,7 +175,7 @@ def write_shards(
     spark: SparkSession = df.sparkSession
     ship_package(spark)
     folder = qualified(spark, folder)
-    _check_unused(folder)
+    check_unused(folder)
     spark.dataSource.register(ShardTarSource)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if shards is not None:

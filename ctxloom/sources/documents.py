@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ctxloom.sources.listing import resolve_inputs, text_scans
 from ctxloom.sources.paths import decoded_path
 
-# Plain JSON only: no single quotes, no NaN.
-_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+# Plain JSON only: no single quotes, no NaN. Texts may be longer than the parser's usual limit of 20 million characters.
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "maxStringLen": str(2**31 - 1)}
 
 
 def read_lines(spark: SparkSession, paths: list[str] | str, ext: str | None = None) -> DataFrame:
