@@ -146,6 +146,8 @@ def _exploded(docs: DataFrame, pattern: str, n_buckets: int, block_chars: int) -
                     ids, counts, codes, numbers, total = [], [], [], _Numbers(), 0
         if ids:
             yield rows()
+        ids, counts, codes, numbers = [], [], [], _Numbers()
+        release_memory()
 
     ids = StructField("ids", ArrayType(docs.schema["doc_id"].dataType))
     plain = StructType.fromDDL("block string, bucket bigint, n bigint, size bigint, data binary, counts array<bigint>").fields
@@ -193,6 +195,8 @@ def _encoded_words(words: DataFrame, ranks) -> DataFrame:
                 ],
                 ["block", "bucket", "n", "size", "data", "words"],
             )
+        known = {}
+        release_memory()
 
     return words.mapInArrow(run, "block string, bucket bigint, n bigint, size bigint, data binary, words bigint")
 

@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ctxloom.llm.common import stored, texts, worker_state
+from ctxloom.llm.common import release_memory, stored, texts, worker_state
 from ctxloom.runtime import ship_package
 
 UNKNOWN = "und"
@@ -197,6 +197,7 @@ def train(labelled: DataFrame, vocabulary: dict[bytes, int], most: int = TRAININ
             yield pa.RecordBatch.from_arrays(
                 [pa.array(piece, pa.int32()), pa.array(k, pa.int32()), pa.array(sums[piece, k])], ["piece", "lang", "n"]
             )
+            release_memory()
 
         sums = words.mapInArrow(run, "piece int, lang int, n double").groupBy("piece", "lang").agg(F.sum("n").alias("n"))
         got = sums.toPandas()
@@ -266,6 +267,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
                     best = int(np.argmax(s))
                     out.append((names[best], float(1.0 / np.exp(s - s[best]).sum())))
             yield pd.DataFrame(out, columns=["lang_pred", "score"])
+        release_memory()
 
     packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), score(F.col(text)).alias("_found"))
     kept = [F.col("_row")[c].alias(c) for c in docs.columns if c not in ("lang_pred", "score")]
