@@ -7,17 +7,18 @@ from pyspark.sql import functions as F
 
 from ctxloom.functions.arith import int_div
 from ctxloom.functions.presets import Preset
+from ctxloom.operators.offsets import named
 
 
 def stats_from_totals(totals: DataFrame, preset: Preset, seqlen: int, total_row: bool = True) -> DataFrame:
     """Accounting per file, and for all files in the row with a null ``file``.
 
     ``totals`` is (file, docs, total). ``token_count`` follows the reported figure of the job: text
-    tokens, end-of-text ids and padding, without BOS.
+    tokens, end-of-text ids and padding, without BOS. A file without a name is an error, as it would pass for the total.
     """
     bos = F.col("docs") if preset.bos is not None else F.lit(0)
     contexts = int_div("total", seqlen) + 1
-    per_file = totals.select(
+    per_file = named(totals).select(
         "file",
         F.col("docs").cast("bigint"),
         (F.col("total") - F.col("docs") - bos).cast("bigint").alias("text_tokens"),

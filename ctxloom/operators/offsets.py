@@ -11,6 +11,12 @@ from ctxloom.functions.arith import int_div
 ROWS_PER_RANGE = 65536
 
 
+def named(df: DataFrame, file: str = "file") -> DataFrame:
+    """``df``, failing on rows without a stream name: joins by name would lose them."""
+    missing = F.raise_error(F.lit("a row has no stream name")).cast(df.schema[file].dataType)
+    return df.withColumn(file, F.coalesce(F.col(file), missing))
+
+
 def _before(value: str, keys: list[str], order: Column | str) -> Column:
     """Sum of ``value`` over the rows before the current one."""
     window = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
@@ -48,8 +54,9 @@ def stream_offsets(
     A running sum per file would put a file of any size in one task. Here the order column is cut
     into ranges; rows are summed inside a range, and the small table of range totals is summed
     across ranges and joined back. The join reuses the window's partitioning. ``depth`` adds levels
-    of ranges of ranges, for order columns so sparse that ranges hold few rows.
+    of ranges of ranges, for order columns so sparse that ranges hold few rows. A null name is an error.
     """
+    df = named(df, file)
     ranges = [f"_r{i}" for i in range(depth, 0, -1)]
     levels = [file] + ([block] if block else []) + ranges
     for i in range(1, depth + 1):

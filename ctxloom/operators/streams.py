@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ctxloom.functions.arith import int_div
 from ctxloom.functions.presets import Preset
 from ctxloom.operators.encode import Vocab, token_lists
-from ctxloom.operators.offsets import ROWS_PER_RANGE, range_bases
+from ctxloom.operators.offsets import ROWS_PER_RANGE, named, range_bases
 from ctxloom.operators.packing import check_positive, join_pieces, pad_pieces
 from ctxloom.runtime import ship_package
 
@@ -95,7 +95,7 @@ def block_streams(df: DataFrame, preset: Preset, seqlen: int, vocab: Vocab | Non
 
     Rows must reach each task in order, blocks whole: straight from a file scan or by
     ``arrange_blocks``. With a vocabulary ``text`` is encoded here, in the same pass. ``docs`` counts
-    documents that began since the row before.
+    documents that began since the row before. A null name is an error.
     """
     check_positive(seqlen=seqlen)
     ship_package(df.sparkSession)
@@ -120,7 +120,7 @@ def block_streams(df: DataFrame, preset: Preset, seqlen: int, vocab: Vocab | Non
         cutter.close()
         yield cutter.drain()
 
-    return df.select("file", "block", column).mapInArrow(run, STREAM_SCHEMA)
+    return named(df).select("file", "block", column).mapInArrow(run, STREAM_SCHEMA)
 
 
 def block_totals(streams: DataFrame) -> DataFrame:

@@ -70,6 +70,12 @@ class _OpenShard:
                 raise
             self.system.delete_file(self.temp)
 
+    def discard(self) -> None:
+        """Leave nothing of a shard that cannot be finished."""
+        self.out.close()
+        if self.system.get_file_info(self.temp).type == pafs.FileType.File:
+            self.system.delete_file(self.temp)
+
 
 class ShardTarWriter(DataSourceArrowWriter):
     """Takes rows sorted by shard and member order, each shard in one task.
@@ -105,18 +111,23 @@ class ShardTarWriter(DataSourceArrowWriter):
     def write(self, iterator: Iterator[pa.RecordBatch]) -> ShardCounts:
         written: dict[int, int] = {}
         target: _OpenShard | None = None
-        for shard, name, payload in self._members(iterator):
-            if target is None or target.shard != shard:
-                if target is not None:
-                    target.close()
-                    written[target.shard] = target.count
-                if shard in written:
-                    raise ValueError(f"rows of shard {shard} are not together")
-                target = _OpenShard(self.folder, shard)
-            target.add(name, payload)
-        if target is not None:
-            target.close()
-            written[target.shard] = target.count
+        try:
+            for shard, name, payload in self._members(iterator):
+                if target is None or target.shard != shard:
+                    if target is not None:
+                        target.close()
+                        written[target.shard] = target.count
+                    if shard in written:
+                        raise ValueError(f"rows of shard {shard} are not together")
+                    target = _OpenShard(self.folder, shard)
+                target.add(name, payload)
+            if target is not None:
+                target.close()
+                written[target.shard] = target.count
+        except BaseException:
+            if target is not None:
+                target.discard()
+            raise
         ids = np.fromiter(written.keys(), dtype=np.int64, count=len(written))
         counts = np.fromiter(written.values(), dtype=np.int64, count=len(written))
         return ShardCounts(ids.tobytes(), counts.tobytes())

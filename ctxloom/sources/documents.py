@@ -85,8 +85,9 @@ def documents_of(checked: DataFrame, on_bad_record: str = "fail") -> DataFrame:
     if on_bad_record == "drop":
         return checked.filter(F.col("reason").isNull()).select("file", "block", "ord", "text")
     complaint = F.concat(F.lit("bad record in "), "file", F.lit(": "), "reason")
-    text = F.when(F.col("reason").isNull(), F.col("text")).otherwise(F.raise_error(complaint).cast("string"))
-    return checked.select("file", "block", "ord", text.alias("text"))
+    # As a filter the check stays in the plan, whichever columns are read.
+    good = F.when(F.col("reason").isNull(), F.lit(True)).otherwise(F.raise_error(complaint).cast("boolean"))
+    return checked.filter(good).select("file", "block", "ord", "text")
 
 
 def read_documents(

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ctxloom.sources.paths import common_parent, decoded_path, is_file, local_form, qualified
+from ctxloom.sources.paths import common_parent, decoded_path, is_file, literal, local_form, qualified
 
 JSONL_SUFFIXES = (".jsonl", ".jsonl.gz", ".jsonl.zstd", ".jsonl.zst")
 
@@ -70,9 +70,9 @@ def text_scans(spark: SparkSession, inputs: Inputs) -> list[DataFrame]:
     reader = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true")
     scans = []
     if inputs.files:
-        scans.append(reader.text(list(inputs.files)))
+        scans.append(reader.text([literal(f) for f in inputs.files]))
     if inputs.dirs:
-        scans.append(reader.option("pathGlobFilter", inputs.glob).text(list(inputs.dirs)))
+        scans.append(reader.option("pathGlobFilter", inputs.glob).text([literal(d) for d in inputs.dirs]))
     return scans
 
 
@@ -86,9 +86,9 @@ def _sizes(spark: SparkSession, inputs: Inputs) -> DataFrame:
     parts = []
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if inputs.files:
-        parts.append(reader.load(list(inputs.files)))
+        parts.append(reader.load([literal(f) for f in inputs.files]))
     if inputs.dirs:
-        parts.append(reader.option("pathGlobFilter", inputs.glob).load(list(inputs.dirs)))
+        parts.append(reader.option("pathGlobFilter", inputs.glob).load([literal(d) for d in inputs.dirs]))
     out = None
     for part in parts:
         part = part.select(local_form(F.col("path")).alias("file"), F.col("length").alias("bytes"))
@@ -119,5 +119,5 @@ def list_sized(spark: SparkSession, paths: list[str] | str, ext: str | None = No
 
 def dataset_size(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes under a folder, at any depth, as one row."""
-    scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(literal(folder))
     return scan.agg(F.coalesce(F.sum("length"), F.lit(0)).cast("bigint").alias("size"))

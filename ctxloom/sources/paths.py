@@ -37,6 +37,11 @@ def qualified(spark: SparkSession, path: str) -> str:
     return normal_path(system.makeQualified(hadoop_path).toString())
 
 
+def literal(path: str) -> str:
+    """A path as Spark's readers must be given it to mean that one file or folder and no pattern."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def is_file(spark: SparkSession, path: str) -> bool:
     hadoop_path, system = _hadoop(spark, path)
     return bool(system.getFileStatus(hadoop_path).isFile())

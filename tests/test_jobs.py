@@ -226,6 +226,7 @@ def test_sink_rejects_bad_layouts(spark, tmp_path):
     with pytest.raises(Exception, match="not together"):
         df.coalesce(1).write.format("shardtar").mode("append").save(str(tmp_path / "bad"))
     assert not os.path.exists(tmp_path / "bad" / "manifest.jsonl")
+    assert not [n for n in os.listdir(tmp_path / "bad") if n.startswith(".shard_")]
 
 
 CARDS = [

@@ -154,3 +154,13 @@ def test_split_block_is_noticed(spark, byte_rules):
     streams = block_streams(scattered, byte_rules, 8)
     with pytest.raises(Exception, match="block was split"):
         block_totals(streams).collect()
+
+
+def test_rows_without_a_name_are_an_error(spark, byte_rules):
+    df = spark.createDataFrame([("f", 0, 2), (None, 1, 3)], "file string, ord long, n long")
+    for made in (stream_offsets(df), stream_offsets(df).select("file"), token_stats(df, byte_rules, 8)):
+        with pytest.raises(Exception, match="no stream name"):
+            made.collect()
+    texts = df.select("file", F.lit(0).cast("bigint").alias("block"), "ord", F.array(F.lit(1)).alias("tokens"))
+    with pytest.raises(Exception, match="no stream name"):
+        block_streams(texts, byte_rules, 8).collect()

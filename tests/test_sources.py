@@ -96,9 +96,27 @@ def test_records(spark, tmp_path):
     assert read_documents(spark, str(tmp_path), on_bad_record="drop").count() == 5
     with pytest.raises(Exception, match="bad record"):
         read_documents(spark, str(tmp_path)).collect()
+    for narrow in (lambda d: d.count(), lambda d: d.select("file").collect()):
+        with pytest.raises(Exception, match="bad record"):
+            narrow(read_documents(spark, str(tmp_path)))
     assert check_records(read_lines(spark, str(tmp_path))).filter("(text is null) = (reason is null)").count() == 0
 
 
+@pytest.mark.parametrize("name,other", [("a[1].jsonl", "a1.jsonl"), ("a{b,c}.jsonl", "ab.jsonl"), ("a*.jsonl", "ax.jsonl"), ("a?.jsonl", "ay.jsonl")])
+def test_names_are_no_patterns(spark, tmp_path, name, other):
+    folder = tmp_path / "in[1]"
+    for root in (folder, tmp_path / "in1"):
+        root.mkdir()
+        (root / name).write_bytes(lines("meant"))
+        (root / other).write_bytes(lines("other"))
+    assert [r.text for r in read_documents(spark, str(folder / name)).collect()] == ["meant"]
+    assert names(list_corpus(spark, str(folder / name))) == [name]
+    found = read_documents(spark, str(folder))
+    assert names(found) == names(list_corpus(spark, str(folder))) == sorted([name, other])
+    assert found.count() == 2
+    assert dataset_size(spark, str(folder)).first().size == sum(f.stat().st_size for f in folder.iterdir())
+
+
 def test_text_projection_is_pruned(spark, corpus):
     plan = read_documents(spark, str(corpus))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
