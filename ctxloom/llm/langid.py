@@ -12,7 +12,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
@@ -252,21 +251,18 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
     shared = spark.sparkContext.broadcast(model)
     name = uuid.uuid4().hex
 
-    @F.pandas_udf("struct<lang_pred: string, score: double>")
-    def score(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<lang_pred: string, score: double>")
+    def score(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = worker_state(name, lambda: _Scorer(shared.value))
         names = scorer.model.languages
         for part in parts:
-            own = [t if isinstance(t, str) else "" for t in part]
-            out = []
-            for at in range(0, len(own), 256):
-                for s in scorer.scores(own[at : at + 256]):
-                    if s is None:
-                        out.append((UNKNOWN, 0.0))
-                        continue
-                    best = int(np.argmax(s))
-                    out.append((names[best], float(1.0 / np.exp(s - s[best]).sum())))
-            yield pd.DataFrame(out, columns=["lang_pred", "score"])
+            found, fits = [], []
+            for at in range(0, len(part), 256):
+                for s in scorer.scores([t or "" for t in part.slice(at, 256).to_pylist()]):
+                    best = None if s is None else int(np.argmax(s))
+                    found.append(UNKNOWN if s is None else names[best])
+                    fits.append(0.0 if s is None else float(1.0 / np.exp(s - s[best]).sum()))
+            yield pa.StructArray.from_arrays([pa.array(found, pa.string()), pa.array(fits, pa.float64())], ["lang_pred", "score"])
         release_memory()
 
     packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), score(F.col(text)).alias("_found"))
