@@ -28,7 +28,7 @@ MIN_LANGUAGE_SCORE = 0.5
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The languages are learnt from ``docs`` themselves; where none of them has a label, documents with a letter stay."""
     model = train(docs.filter(~held_out(F.col("doc_id"))), read_ranks("byte_bpe_multi_50k.tiktoken"))
-    found = identify(docs.select(F.struct("*").alias("row"), "text"), model)
+    found = identify(docs.select(F.struct("*").alias("row")), model, "row.text")
     if not model.languages:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
     stay = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
