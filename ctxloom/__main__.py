@@ -26,6 +26,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--shuffle-only", action="store_true", help="inputs are tars of ready contexts")
     p.add_argument("--ext", default=None)
     p.add_argument("--on-bad-record", choices=["fail", "drop"], default="fail")
+    p.add_argument("--rows-per-block", type=int, help="spread the lines of few large compressed files over tasks, so many to each")
     p.add_argument("--input-json")
     p.add_argument("--output-json")
     p.add_argument("--work-dir")
@@ -43,7 +44,7 @@ def main(argv: list[str] | None = None) -> None:
         if not a.vocab:
             p.error("--vocab is needed unless --shuffle-only is given")
         vocab = load_rank_vocab(spark, a.vocab, rules.pattern) if a.use_tiktoken else load_hf_vocab(spark, a.vocab)
-        result = tokenize_shuffle(spark, a.input, a.output, vocab, on_bad_record=a.on_bad_record, **common)
+        result = tokenize_shuffle(spark, a.input, a.output, vocab, on_bad_record=a.on_bad_record, rows_per_block=a.rows_per_block, **common)
     for warning in result.warnings:
         print("warning:", warning)
     print(json.dumps({**result.summary, "rejects": result.rejects}))

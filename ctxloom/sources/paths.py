@@ -37,9 +37,14 @@ def qualified(spark: SparkSession, path: str) -> str:
     return normal_path(system.makeQualified(hadoop_path).toString())
 
 
+def hadoop_scheme(path: str) -> str:
+    """The path for Hadoop's file systems, which know S3 as ``s3a``."""
+    return re.sub("^s3://", "s3a://", path)
+
+
 def literal(path: str) -> str:
     """A path as Spark's readers must be given it to mean that one file or folder and no pattern."""
-    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", hadoop_scheme(path))
 
 
 def is_file(spark: SparkSession, path: str) -> bool:
@@ -48,7 +53,7 @@ def is_file(spark: SparkSession, path: str) -> bool:
 
 
 def _hadoop(spark: SparkSession, path: str):
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(hadoop_scheme(path))
     return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
@@ -65,7 +70,7 @@ def common_parent(dirs: list[str], files: list[str]) -> str:
 
 def relative_name(file: str, parent: str) -> Column:
     """``file`` below ``parent``. Shuffle keys use this name, so moving a corpus keeps its order."""
-    return F.substring(F.col(file), len(parent) + 2, 1 << 20) if parent else F.col(file)
+    return F.substr(F.col(file), F.lit(len(parent) + 2)) if parent else F.col(file)
 
 
 def open_fs(path: str) -> tuple[pafs.FileSystem, str]:

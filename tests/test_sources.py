@@ -8,7 +8,7 @@ import zstandard
 from ctxloom.sources.documents import check_records, read_documents, read_lines, split_bad_records
 from ctxloom.sources.listing import dataset_size, list_corpus
 from ctxloom.sources.manifest import read_manifest
-from ctxloom.sources.paths import common_parent, relative_name
+from ctxloom.sources.paths import common_parent, literal, relative_name
 from ctxloom.sources.ranks import read_ranks
 
 from conftest import rank_lines
@@ -156,3 +156,9 @@ def test_relative_name(spark):
 def test_relative_paths(spark, corpus):
     relative = os.path.relpath(corpus)
     assert list_corpus(spark, relative).exceptAll(list_corpus(spark, str(corpus))).count() == 0
+
+
+def test_s3_scheme():
+    assert literal("s3://bucket/a[1].jsonl") == r"s3a://bucket/a\[1\].jsonl"
+    assert literal("s3a://bucket/x") == "s3a://bucket/x"
+    assert literal("/data/s3://x") == "/data/s3://x"
