@@ -1,7 +1,8 @@
 """A training-corpus pipeline: each stage reads what the one before kept, written as Parquet in the shared folder.
 
 1. Language identification: documents without a letter, or whose language is less likely than not, go.
-2. Line dedup: lines that repeat an earlier one, or are one edit from it, go, and documents of which nothing is left.
+2. Line dedup: lines of any length that repeat an earlier one, and those of 20 characters or more that are one edit
+   from it, go, and documents of which nothing is left. Blank lines stay.
 3. Near-duplicates: of each group of linked fingerprints one document stays.
 4. Decontamination: documents with a window of a benchmark item go.
 5. Byte-level BPE: documents as token ids, checked by decoding.
@@ -37,7 +38,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``n_chars`` follows the text where there is such a column."""
-    kept = without_repeated_lines(docs)
+    kept = without_repeated_lines(docs, min_chars=None)
     if "n_chars" not in docs.columns:
         return kept
     return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))

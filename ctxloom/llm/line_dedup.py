@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ctxloom.llm.common import stored, wide_hash
 
-MIN_CHARS = 20
+MIN_CHARS = 20  # for the comparison within one edit
+_NOT_BLANK = r"(?U)\S"
 _QUARTERS = 4
 _SLOTS = 1 << 20
 
@@ -100,23 +101,27 @@ def _near_earlier(lines: DataFrame) -> DataFrame:
     return verified.filter(F.levenshtein("line", "other", 1) >= 0).select("h1", "h2").distinct()
 
 
-def mark_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def mark_lines(docs: DataFrame, min_chars: int | None = None) -> DataFrame:
     """(_row, n_lines, removed, kept): each row of ``docs`` with the numbers of the lines that go and the text that stays.
 
-    Lines end at each newline character. A line of ``min_chars`` characters or more goes if such a line
-    comes before it, in this document or an earlier one, that is equal or one edit (a character put in,
-    left out or replaced) away, whether or not that one stays. Documents are ordered by doc_id, then by a
-    hash of doc_id and text; those without doc_id come last. Rows with the same doc_id and text are one
-    document and get the same result. Shorter lines always stay. Null texts have no lines and stay null; an
-    empty text is one empty line. ``_row`` holds all columns as they were.
+    Lines end at each newline character. A line goes if an equal one comes before it, in this document or
+    an earlier one, whether or not that one stays; blank lines, of white space alone, always stay. A line of
+    MIN_CHARS characters or more also goes if such a line comes before it that is one edit (a character put
+    in, left out or replaced) away. With ``min_chars`` that number holds for both: shorter lines then always
+    stay, also if they are repeated. Documents are ordered by doc_id, then by a hash of doc_id and text;
+    those without doc_id come last. Rows with the same doc_id and text are one document and get the same
+    result. Null texts have no lines and stay null; an empty text is one empty line. ``_row`` holds all
+    columns as they were.
     """
     keyed = _keyed(docs)
     exploded = keyed.select("d1", "d2", "doc", F.posexplode("lines").alias("no", "line"))
     h1, h2 = wide_hash("line")
-    lines = exploded.filter(F.char_length("line") >= min_chars).withColumns({"h1": h1, "h2": h2})
+    compared = F.col("line").rlike(_NOT_BLANK) if min_chars is None else F.char_length("line") >= min_chars
+    lines = exploded.filter(compared).withColumns({"h1": h1, "h2": h2})
+    editable = lines.filter(F.char_length("line") >= (MIN_CHARS if min_chars is None else min_chars))
     placed = lines.select("h1", "h2", F.struct("doc", "no").alias("pos"), "d1", "d2", "no")
     firsts = stored(placed.groupBy("h1", "h2").agg(F.min("pos").alias("first")), "lines")
-    near = _near_earlier(_candidates(lines.select("h1", "h2", "line"), firsts))
+    near = _near_earlier(_candidates(editable.select("h1", "h2", "line"), firsts))
     known = firsts.join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left")
     gone = placed.join(known, ["h1", "h2"]).filter("near or pos > first")
     per_doc = gone.groupBy("d1", "d2").agg(F.collect_set("no").alias("gone"))
@@ -131,8 +136,11 @@ def mark_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     )
 
 
-def without_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``docs`` with the kept text in place of the text; rows of which no line is left go. Other columns pass through."""
+def without_repeated_lines(docs: DataFrame, min_chars: int | None = MIN_CHARS) -> DataFrame:
+    """``docs`` with the kept text in place of the text; rows of which no line is left go. Other columns pass through.
+
+    ``min_chars`` as in ``mark_lines``; here shorter lines stay unless None is given.
+    """
     marked = mark_lines(docs, min_chars).filter("n_lines = 0 or size(removed) < n_lines")
     columns = [F.col("kept").alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns]
     return marked.select(*columns)

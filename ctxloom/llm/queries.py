@@ -12,7 +12,7 @@ from ctxloom.llm.chat import chain_of_turns, format_branches, read_back
 from ctxloom.llm.common import read_table
 from ctxloom.llm.decontaminate import find_contamination
 from ctxloom.llm.langid import held_out, identify, train
-from ctxloom.llm.line_dedup import mark_lines
+from ctxloom.llm.line_dedup import MIN_CHARS, mark_lines
 from ctxloom.llm.pii import KINDS, find_personal_data
 from ctxloom.llm.pii import train as train_pii
 from ctxloom.llm.simhash import simhash_components
@@ -32,7 +32,8 @@ def op1_langid(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    marked = mark_lines(read_table(spark, sf, "documents"))
+    """As its SQL has it: lines under MIN_CHARS stay even if they are repeated. The pipeline's stage removes those too."""
+    marked = mark_lines(read_table(spark, sf, "documents"), MIN_CHARS)
     return marked.select(
         F.col("_row.doc_id").alias("doc_id"), "n_lines", F.size("removed").cast("bigint").alias("n_removed"),
         F.sha2("kept", 256).alias("kept_sha256"),

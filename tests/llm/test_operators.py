@@ -115,6 +115,15 @@ def test_line_dedup(spark, odd):
     assert line_dedup.without_repeated_lines(odd.limit(0)).count() == 0
 
 
+def test_short_lines_that_repeat_go(spark):
+    rows = [(1, "Les.\n\n \u3000\nabc\n日本"), (2, "Les.\n\n \u3000\nabd"), (3, "日本\nLes.\nLes"), (4, "Les.\nabc"), (5, None), (6, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["_row"]["doc_id"]: r["removed"] for r in line_dedup.mark_lines(docs).collect()}
+    assert got == {1: [], 2: [0], 3: [0, 1], 4: [0, 1], 5: [], 6: []}  # blank lines stay, and one edit is not looked for in short lines
+    kept = {r["doc_id"]: r["text"] for r in line_dedup.without_repeated_lines(docs, None).collect()}
+    assert kept == {1: rows[0][1], 2: "\n \u3000\nabd", 3: "Les", 5: None, 6: ""}
+
+
 # ---------------------------------------------------------------- 3
 
 
