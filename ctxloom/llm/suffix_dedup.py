@@ -286,8 +286,9 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
     """
     spark = docs.sparkSession
     ship_package(spark)
-    packed = _pack(docs, block_bytes).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "block")
-    blocks = bucketed_by_block(packed)
+    # Blocks are named at random, so they are written before a shuffle goes by their names: a task run again reads the same ones.
+    packed = stored(_pack(docs, block_bytes), "packed")
+    blocks = bucketed_by_block(packed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "block"))
     total = blocks.select(F.aggregate("sizes", F.lit(0).cast("bigint"), lambda n, x: n + x).alias("n")).agg(F.sum("n")).first()[0]
     n_buckets = 1 + (total or 0) // BUCKET_BYTES
     copies = stored(_copies(blocks), "copies")

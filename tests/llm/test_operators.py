@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ctxloom.llm import bpe, chat, decontaminate, langid, line_dedup, pii, simhash, suffix_dedup, token_count, weighted_sampling
+from ctxloom.llm.common import bucketed_by_block
 from ctxloom.llm.components import connected_components
 from ctxloom.llm.queries import llm_queries
 from ctxloom.llm.sql import llm_sql
@@ -298,6 +299,14 @@ def test_repeats(spark, sf, odd):
         assert sorted(got, key=key) == sorted(want, key=key)
 
 
+def test_blocks_keep_their_names_when_tasks_run_again(spark, odd, monkeypatch):
+    shuffled = []
+    monkeypatch.setattr(suffix_dedup, "bucketed_by_block", lambda rows: shuffled.append(rows) or bucketed_by_block(rows))
+    suffix_dedup.remove_repeats(odd, 2000)
+    first, again = (sorted(r["block"] for r in shuffled[0].select("block").collect()) for _ in range(2))
+    assert first == again and len(first) > 3
+
+
 # ---------------------------------------------------------------- 10
 
 
