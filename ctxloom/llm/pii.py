@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import random
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,6 +26,7 @@ SAMPLE_REGIONS = 300
 MAX_ATOMS = 16
 MAX_CHARS = 80
 _EPOCHS = 30
+_SLICE = 1 << 10  # atoms scored at once
 _FEATURES = 1 << 10
 
 # The patterns of the contract.
@@ -128,11 +130,10 @@ class Region:
     segments: list[tuple[int, int]]
 
 
-def region_of(text: str) -> Region:
-    found = [(m.start(), m.end()) for m in _ATOM.finditer(text)]
-    begins, ends = [a for a, _ in found], [b for _, b in found]
+def _segments(text: str, begins: list[int], ends: list[int], count: int) -> list[tuple[int, int]]:
+    """Candidate segments that begin at one of the first ``count`` atoms."""
     segments = []
-    for i, a in enumerate(begins):
+    for i, a in enumerate(begins[:count]):
         first = text[a]
         if not (first.isalnum() or first in "+("):
             continue
@@ -144,7 +145,27 @@ def region_of(text: str) -> Region:
             trigger = trigger or "0" <= text[begins[j]] <= "9" or bool(_AT.match(text, begins[j]))
             if trigger and last.isalnum() and last.isascii() and j > i - 1 and ends[j] - a > 5:
                 segments.append((i, j + 1))
-    return Region(text, begins, ends, segments)
+    return segments
+
+
+def region_of(text: str) -> Region:
+    found = [(m.start(), m.end()) for m in _ATOM.finditer(text)]
+    begins, ends = [a for a, _ in found], [b for _, b in found]
+    return Region(text, begins, ends, _segments(text, begins, ends, len(begins)))
+
+
+def _slices(text: str) -> Iterator[tuple[Region, int]]:
+    """A region's atoms a slice at a time, with those after it that a segment can reach; the number of the slice's own."""
+    begins: list[int] = []
+    ends: list[int] = []
+    for m in _ATOM.finditer(text):
+        begins.append(m.start())
+        ends.append(m.end())
+        if len(begins) == _SLICE + MAX_ATOMS - 1:
+            yield Region(text, begins, ends, _segments(text, begins, ends, _SLICE)), _SLICE
+            begins, ends = begins[_SLICE:], ends[_SLICE:]
+    if begins:
+        yield Region(text, begins, ends, _segments(text, begins, ends, len(begins))), len(begins)
 
 
 def _side(char: str) -> str:
@@ -187,27 +208,44 @@ def _scores(region: Region, weights: np.ndarray) -> np.ndarray:
     return weights[np.array(rows)].sum(axis=1) if rows else np.zeros((0, len(KINDS)))
 
 
-def best_spans(region: Region, scores: np.ndarray) -> list[tuple[int, int, str]]:
-    """The best division into spans and single atoms outside; an atom outside scores zero."""
-    n = len(region.begins)
-    by_end: list[list[int]] = [[] for _ in range(n + 1)]
-    for s, (_, end) in enumerate(region.segments):
-        by_end[end].append(s)
-    kind_of, best = scores.argmax(axis=1) if len(scores) else [], scores.max(axis=1) if len(scores) else []
-    value, back = [0.0] * (n + 1), [-1] * (n + 1)
-    for end in range(1, n + 1):
-        value[end] = value[end - 1]
-        for s in by_end[end]:
-            v = value[region.segments[s][0]] + best[s]
-            if v > value[end]:
-                value[end], back[end] = v, s
-    out, end = [], n
+def best_spans(text: str, weights: np.ndarray, free: Callable[[int, int], bool]) -> list[tuple[int, int, str]]:
+    """The best division of a region into spans and single atoms outside; an atom outside scores zero. Spans must be ``free``.
+
+    A region can be as long as a text. Segments are made and scored a slice of atoms at a time; of the places
+    behind only the last value is kept, and for each atom where it begins and the best span that ends with it.
+    """
+    places, lengths, kinds = array("q"), bytearray(1), bytearray(1)
+    ahead: dict[int, tuple[float, int, int]] = {}  # by end: the best span among those begun so far
+    value, at = 0.0, 0
+    for region, count in _slices(text):
+        region.segments = [(i, j) for i, j in region.segments if free(region.begins[i], region.ends[j - 1])]
+        scores = _scores(region, weights)
+        kind_of, best = (scores.argmax(axis=1).tolist(), scores.max(axis=1).tolist()) if len(scores) else ([], [])
+        s = 0
+        for i in range(count):
+            while s < len(best) and region.segments[s][0] == i:
+                end = region.segments[s][1]
+                v = value + best[s]
+                if at + end not in ahead or v > ahead[at + end][0]:
+                    ahead[at + end] = v, end - i, kind_of[s]
+                s += 1
+            v, length, kind = ahead.pop(at + i + 1, (value, 0, 0))
+            if v > value:
+                value = v
+            else:
+                length = 0
+            lengths.append(length)
+            kinds.append(kind)
+        places.extend(region.begins[:count])
+        at += count
+    places.append(len(text))
+    out, end = [], at
     while end > 0:
-        if back[end] < 0:
+        if not lengths[end]:
             end -= 1
             continue
-        i, j = region.segments[back[end]]
-        out.append((region.begins[i], region.ends[j - 1], KINDS[kind_of[back[end]]]))
+        i = end - lengths[end]
+        out.append((places[i], places[end], KINDS[kinds[end]]))
         end = i
     return out[::-1]
 
@@ -341,8 +379,6 @@ def all_spans(text: str, weights: np.ndarray) -> list[tuple[int, int, str, bool]
     covered = covered.cumsum()
     added: list[tuple[int, int, str]] = []
     for a, b in regions(text):
-        region = region_of(text[a:b])
-        begins, ends = np.array(region.begins) + a, np.array(region.ends) + a
-        region.segments = [(i, j) for i, j in region.segments if covered[ends[j - 1]] == covered[begins[i]]]
-        added += [(a + x, a + y, kind) for x, y, kind in best_spans(region, _scores(region, weights))]
+        found = best_spans(text[a:b], weights, lambda x, y, a=a: covered[a + y] == covered[a + x])
+        added += [(a + x, a + y, kind) for x, y, kind in found]
     return sorted([(*s, True) for s in base] + [(*s, False) for s in added], key=_order)

@@ -230,6 +230,23 @@ def test_personal_data(spark, odd):
     assert pii.find_personal_data(odd.limit(0), pii.train(odd.limit(0))).count() == 0
 
 
+def test_long_numeric_text_is_scored_in_slices(monkeypatch):
+    weights = pii.fit(pii.made_examples())
+    rng = random.Random(13)
+    forms = [lambda: str(rng.randrange(10**6)), lambda: f"{rng.randrange(100, 999)}-555-{rng.randrange(1000, 9999)}", lambda: "ab [at] cd.com"]
+    text = " ".join(rng.choice(forms)() for _ in range(150))
+    whole = pii.all_spans(text, weights)
+    monkeypatch.setattr(pii, "_SLICE", 20)
+    assert pii.all_spans(text, weights) == whole and len(whole) > 20
+    monkeypatch.undo()
+    # Several MB in one region; of features only their number matters here.
+    sizes, scores = [], pii._scores
+    monkeypatch.setattr(pii, "_scores", lambda region, w: sizes.append(len(region.segments)) or scores(region, w))
+    monkeypatch.setattr(pii, "span_features", lambda text, start, end: [0] * 17)
+    pii.all_spans("123 456 " * 250_000, weights)
+    assert sum(sizes) > 3_000_000 and max(sizes) <= pii.MAX_ATOMS * 2000
+
+
 # ---------------------------------------------------------------- 6
 
 
