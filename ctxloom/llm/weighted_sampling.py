@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ctxloom.llm.common import stored, wide_hash
 
-SAMPLES = 20
+SAMPLES = 128
 _RANK_STEPS = 1 << 21  # ranks are compared in steps of 2^-21, equal ones by the sample's hash
 _RANK_SHIFT = 512
 
@@ -49,8 +49,8 @@ def _sketches(rows: DataFrame, keys: list[str], text: str, samples: int) -> Data
 
 def likeness(one: str, other: str, samples: int = SAMPLES) -> Column:
     """Share of equal samples: an estimate of the generalised Jaccard similarity."""
-    same = [F.when(F.col(one)[k] == F.col(other)[k], 1).otherwise(0) for k in range(samples)]
-    return sum(same[1:], same[0]) / F.lit(float(samples))
+    same = F.zip_with(one, other, lambda x, y: (x == y).cast("int"))
+    return F.aggregate(same, F.lit(0), lambda n, x: n + x) / F.lit(float(samples))
 
 
 def signature_text(signature: str) -> Column:

@@ -352,3 +352,16 @@ def test_weighted_sampling(spark, odd):
     equal = weighted_sampling.fingerprint_texts(spark.createDataFrame([(1, "b A a"), (2, "a b a"), (3, ""), (4, None)], "doc_id long, text string"))
     s = {r["doc_id"]: r["signature"] for r in equal.collect()}
     assert s[1] == s[2] and s[3] == s[4] != s[1]
+
+
+def test_likeness_is_close_to_the_true_one(spark):
+    rng = random.Random(12)
+    rows = []
+    for i in range(240):
+        words = [word(rng) for _ in range(150)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(w if rng.random() < 0.85 else word(rng) for w in words))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = weighted_sampling.compare_with_edits(docs).select("doc_id", weighted_sampling.likeness("signature", "next_signature").alias("near"))
+    near_next = {r["doc_id"]: r["near"] for r in out.collect()}
+    errors = [near_next[2 * i + 1] - jaccard(rows[2 * i + 1][1], rows[2 * i][1]) for i in range(240)]
+    assert abs(np.mean(errors)) < 0.01 and np.std(errors) < 0.05
