@@ -13,6 +13,7 @@ from ctxloom.llm.common import read_table
 from ctxloom.llm.decontaminate import find_contamination
 from ctxloom.llm.langid import held_out, identify, train
 from ctxloom.llm.line_dedup import MIN_CHARS, mark_lines
+from ctxloom.llm.merkle import build_manifest, document_leaves, fold_path, hex_text, proof_digest, prove
 from ctxloom.llm.pii import KINDS, find_personal_data
 from ctxloom.llm.pii import train as train_pii
 from ctxloom.llm.simhash import simhash_components
@@ -117,6 +118,20 @@ def op10_weighted_sampling(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document is proven; the altered leaf, where there is one, is folded along the path of the original."""
+    manifest = build_manifest(document_leaves(read_table(spark, sf, "documents")), ["doc_id"])
+    proofs = prove(manifest, manifest.leaves.select("grp", "rank", "doc_id", "altered"))
+    folded = proofs.withColumn("folded", fold_path(F.coalesce("altered", "digest"), F.col("path")))
+    root = F.lit(manifest.root)
+    return folded.select(
+        "doc_id", hex_text(F.col("digest")).alias("leaf"), hex_text(F.col("subroot")).alias("subroot"), hex_text(root).alias("root"),
+        proof_digest(F.col("path")).alias("proof_sha256"), hex_text(F.col("folded")).alias("folded_root"),
+        (F.col("folded") == root).alias("verified"),
+    )
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_langid, op2_line_dedup, op3_chat_format, op4_simhash, op5_pii, op6_decontaminate, op7_token_count, op8_suffix_dedup, op9_bpe, op10_weighted_sampling]
+    own = [op1_langid, op2_line_dedup, op3_chat_format, op4_simhash, op5_pii, op6_decontaminate, op7_token_count, op8_suffix_dedup, op9_bpe, op10_weighted_sampling,
+           op12_merkle_manifest]
     return {q.__name__: q for q in own}

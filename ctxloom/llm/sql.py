@@ -67,5 +67,53 @@ _CHAT = f"""
     FROM c GROUP BY conv_id"""
 
 
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}::VARCHAR))::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(_field(v) for v in ('doc_id', 'source', 'lang', n_chars, 'text'))})"
+
+
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({0}::VARCHAR, ''),
+    lambda ch: [ord(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END))"""
+
+
+def _levels(name: str, foot: str) -> str:
+    """Recursive CTE (grp, lvl, pos, node, n): the levels of each group's tree."""
+    return f"""{name} AS ({foot} UNION ALL
+            SELECT grp, lvl + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)), (max(n) + 1) // 2
+            FROM {name} WHERE n > 1 GROUP BY grp, lvl, pos // 2)"""
+
+
+_MERKLE = f"""
+    WITH RECURSIVE d AS (SELECT row_number() OVER () AS k, doc_id, coalesce('=' || lang, '') AS grp, {_leaf("n_chars")} AS leaf,
+            CASE WHEN {_CRC32.format("doc_id")} % 7 = 0 THEN {_leaf("(n_chars + 1)")} END AS altered FROM documents),
+      placed AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                        count(*) OVER (PARTITION BY grp) AS n FROM d),
+      {_levels("tree", "SELECT grp, 0 AS lvl, pos, leaf AS node, n FROM placed")},
+      subroots AS (SELECT grp AS name, node, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS n FROM tree WHERE n = 1),
+      {_levels("above", "SELECT 'top' AS grp, 0 AS lvl, pos, node, n FROM subroots")},
+      own AS (SELECT p.k, t.lvl, p.pos >> t.lvl AS pos, t.grp, t.n FROM placed p
+              JOIN (SELECT DISTINCT grp, lvl, n FROM tree WHERE n > 1) t ON p.grp = t.grp),
+      upper AS (SELECT p.k, t.lvl, s.pos >> t.lvl AS pos, t.n FROM placed p JOIN subroots s ON p.grp = s.name
+                CROSS JOIN (SELECT DISTINCT lvl, n FROM above WHERE n > 1) t),
+      steps AS (SELECT k, o.lvl, o.pos % 2 AS side, t.node FROM own o
+                LEFT JOIN tree t ON t.grp = o.grp AND t.lvl = o.lvl AND t.pos = xor(o.pos, 1)
+                UNION ALL SELECT k, 1000 + o.lvl, o.pos % 2, t.node FROM upper o
+                LEFT JOIN above t ON t.lvl = o.lvl AND t.pos = xor(o.pos, 1)),
+      paths AS (SELECT k, list(CASE WHEN node IS NULL THEN '-' WHEN side = 1 THEN 'L' || node ELSE 'R' || node END ORDER BY lvl) AS path,
+                       string_agg(node, '' ORDER BY lvl) AS siblings FROM steps GROUP BY k),
+      folded AS (SELECT p.*, siblings, list_reduce(list_prepend(coalesce(altered, leaf), coalesce(path, [])),
+                     lambda x, s: CASE s[1] WHEN '-' THEN sha256(x) WHEN 'L' THEN sha256(s[2:] || x) ELSE sha256(x || s[2:]) END) AS folded_root
+                 FROM placed p LEFT JOIN paths USING (k)),
+      root AS (SELECT node AS root FROM above WHERE n = 1)
+    SELECT doc_id, leaf, s.node AS subroot, root, sha256(coalesce(siblings, '')) AS proof_sha256, folded_root,
+           folded_root = root AS verified
+    FROM folded f JOIN subroots s ON f.grp = s.name CROSS JOIN root"""
+
+
 def llm_sql() -> dict[str, str]:
-    return {"op3_chat_format": _CHAT, "op2_line_dedup": _line_dedup(20), "op6_decontaminate": _decontaminate(10)}
+    return {"op3_chat_format": _CHAT, "op2_line_dedup": _line_dedup(20), "op6_decontaminate": _decontaminate(10),
+            "op12_merkle_manifest": _MERKLE}
