@@ -16,6 +16,9 @@ from ctxloom.llm.line_dedup import MIN_CHARS, mark_lines
 from ctxloom.llm.merkle import build_manifest, document_leaves, fold_path, hex_text, proof_digest, prove
 from ctxloom.llm.pii import KINDS, find_personal_data
 from ctxloom.llm.pii import train as train_pii
+from ctxloom.llm.quality_rules import apply_rules
+from ctxloom.llm.quality_rules import train as train_rules
+from ctxloom.llm.runs import find_runs, runs_text, with_periodic_tails
 from ctxloom.llm.simhash import simhash_components
 from ctxloom.llm.suffix_dedup import remove_repeats
 from ctxloom.llm.token_count import count_tokens
@@ -118,6 +121,15 @@ def op10_weighted_sampling(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    found = find_runs(with_periodic_tails(read_table(spark, sf, "documents").select("doc_id", "text")))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "top.start", "top.length", "top.period",
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(runs_text("runs"), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     """Every document is proven; the altered leaf, where there is one, is folded along the path of the original."""
     manifest = build_manifest(document_leaves(read_table(spark, sf, "documents")), ["doc_id"])
@@ -131,7 +143,15 @@ def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op13_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents")
+    judged = apply_rules(docs, train_rules(docs, read_table(spark, sf, "labels")))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.col("rule").cast("bigint").alias("rule"),
+    )
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [op1_langid, op2_line_dedup, op3_chat_format, op4_simhash, op5_pii, op6_decontaminate, op7_token_count, op8_suffix_dedup, op9_bpe, op10_weighted_sampling,
-           op12_merkle_manifest]
+           op11_periodic_runs, op12_merkle_manifest, op13_quality_rules]
     return {q.__name__: q for q in own}
