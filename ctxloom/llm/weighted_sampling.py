@@ -1,10 +1,15 @@
 """Document fingerprints by consistent weighted sampling; DataFrame functions only.
 
-Each of K samples draws, for a term of weight w, r and c from Gamma(2, 1) and b from [0, 1), all from
-hashes of the term and the sample's number. With t = floor(ln w / r + b) the term's rank is
-ln c - r (t - b + 1); the term of lowest rank and its t are the sample. Two documents draw the same one
-with the probability of their generalised Jaccard similarity, the sum of the smaller weights over the
-sum of the larger ones.
+Each of K samples draws, for a term of weight w, r and c from Gamma(2, 1) and b from [0, 1). With
+t = floor(ln w / r + b) the term's rank is c exp(-r (t - b + 1)); the term of lowest rank and its t are the
+sample. Two documents draw the same one with the probability of their generalised Jaccard similarity, the
+sum of the smaller weights over the sum of the larger ones.
+
+The draws are made of three independent ones, so that the usual weight of one costs a hash and no more:
+x and y from an exponential distribution and u from [0, 1). c = x + y and v = x / (x + y) are independent,
+c from Gamma(2, 1) and v uniform; so are r = -ln u - ln v and b = -ln u / r. Then r (1 - b) = -ln v, and
+the rank is c v exp(-r t) = x exp(-r t). As t = 0 for a weight of one (and wherever w v < 1), the rank is x
+itself, whose order is that of the uniform number x is made from: the hash.
 """
 
 from __future__ import annotations
@@ -13,38 +18,76 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ctxloom.llm.common import stored, wide_hash
+from ctxloom.runtime import parallelism
 
 SAMPLES = 128
-_RANK_STEPS = 1 << 21  # ranks are compared in steps of 2^-21, equal ones by the sample's hash
-_RANK_SHIFT = 512
+FREQUENT = 1 << 15  # terms with a weight whose samples go to every task: 1 KB each
+_LOOKED_AT = 4
+_PART = 16
+_TOP = "9223372036854775807"
 
 
-def _uniforms(h: str) -> tuple[str, str]:
-    return f"((shiftrightunsigned({h}, 32) + 0.5D) / 4294967296D)", f"((({h} & 4294967295) + 0.5D) / 4294967296D)"
+def _sample(k: int) -> str:
+    """Sample ``part * _PART + k`` of a term with hash ``h`` and weight ``w``: 1 - exp(-rank) in steps of 2^-63.
 
+    The least of a text's names the sampled term and its t.
+    """
+    hashed = f"xxhash64(h, part * {_PART} + {k})"
+    plain = f"({hashed} & {_TOP})"
+    more = f"xxhash64({hashed}, 1)"
+    x = f"(-log1p(-(shiftrightunsigned({plain}, 11) + 0.5D) / 4503599627370496D))"
+    y = f"(-ln((({more} & 4294967295) + 0.5D) / 4294967296D))"
+    ln_u = f"ln((shiftrightunsigned({more}, 32) + 0.5D) / 4294967296D)"
+    r = f"(-{ln_u} - ln({x} / ({x} + {y})))"
+    t = f"floor((ln(w) - {ln_u}) / {r})"
+    far = f"cast(-expm1(-{x} * exp(-{r} * {t})) * {_TOP}D as bigint)"
+    return f"case when w = 1 then {plain} when w * {x} < {x} + {y} then {plain} else {far} end"
+
+
+def _in_parts(rows: DataFrame, samples: int) -> DataFrame:
+    """The rows once for every part of the samples: code for many samples at once is not compiled."""
+    return rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(-(-samples // _PART) - 1))))
 
-def _sample(k: int) -> Column:
-    """One sample of a term with hash ``h`` and logarithm of weight ``lw``: its rank above, what it is below, in one long."""
-    h1, h2 = f"xxhash64(h, {2 * k})", f"xxhash64(h, {2 * k + 1})"
-    (u1, u2), (u3, u4) = _uniforms(h1), _uniforms(h2)
-    r, ln_c = f"(-ln({u1} * {u2}))", f"ln(-ln({u3} * {u4}))"
-    b = f"(shiftrightunsigned(xxhash64({h1}, {h2}), 11) / 9007199254740992D)"
-    t = f"floor(lw / {r} + {b})"
-    rank = f"cast(({ln_c} - {r} * ({t} - {b} + 1D) + {_RANK_SHIFT}D) * {_RANK_STEPS}D as bigint)"
-    return F.expr(f"shiftleft(greatest({rank}, 0L), 32) | (xxhash64({h1}, {t}) & 4294967295)")
 
+def _joined(parts: DataFrame, keys: list[str], own: Column, samples: int) -> DataFrame:
+    """(keys, own): the parts' arrays as one."""
+    whole = parts.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("part", own.alias("own")))).alias("parts"))
+    return whole.select(*keys, F.slice(F.flatten(F.transform("parts", lambda p: p["own"])), 1, samples).alias("own"))
 
-def _sketches(rows: DataFrame, keys: list[str], text: str, samples: int) -> DataFrame:
-    """(keys, signature array<bigint>) of each row's text; ``rows`` must be partitioned by (a part of) the keys."""
+
+def _weights(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """(keys, h, w): the hash of each word in a text, in lower case, and how often it occurs."""
     words = F.array_remove(F.split(F.lower(text), r"\s+"), "")
     words = F.when(F.size(words) > 0, words).otherwise(F.array(F.lit("")))
     terms = rows.select(*keys, F.explode(words).alias("term"))
     weights = terms.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("w"))
-    hashed = weights.select(*keys, F.xxhash64("term").alias("h"), F.log(F.col("w").cast("double")).alias("lw"))
-    # The samples are drawn inside the aggregates, for which code is generated piece by piece.
-    least = hashed.groupBy(*keys).agg(*[F.min(_sample(k)).alias(f"x{k}") for k in range(samples)])
-    signature = F.array(*[F.col(f"x{k}").bitwiseAND(F.lit(0xFFFFFFFF)) for k in range(samples)])
-    return least.select(*keys, signature.alias("signature"))
+    return weights.select(*keys, F.xxhash64("term").alias("h"), "w")
+
+
+def _frequent(texts: DataFrame, samples: int) -> DataFrame:
+    """(h, w, drawn): all samples of the terms and weights above one most often met, FREQUENT rows at most.
+
+    They are looked for among one text in _LOOKED_AT, chosen by hash. What is found saves time and changes
+    no result: a sample is the same wherever it is drawn. For a weight of one drawing is as quick.
+    """
+    some = texts.filter(F.pmod("d1", F.lit(_LOOKED_AT)) == 0)
+    often = _weights(some, ["d1", "d2"], "text").filter("w > 1").groupBy("h", "w").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    often = often.orderBy(F.desc("n"), "h", "w").limit(FREQUENT).repartition(parallelism(texts.sparkSession))
+    drawn = F.array(*[F.expr(_sample(k)) for k in range(_PART)])
+    return _joined(_in_parts(often.select("h", "w"), samples), ["h", "w"], drawn, samples).withColumnRenamed("own", "drawn")
+
+
+def _sketches(rows: DataFrame, keys: list[str], text: str, samples: int, frequent: DataFrame) -> DataFrame:
+    """(keys, signature array<bigint>) of each row's text; ``rows`` must be partitioned by (a part of) the keys.
+
+    A term's samples are taken from ``frequent``, whose size is bounded, or drawn in place.
+    """
+    terms = _in_parts(_weights(rows, keys, text).join(F.broadcast(frequent), ["h", "w"], "left"), samples)
+    known = [f"if(w = 1, null, get(drawn, part * {_PART} + {k}))" for k in range(_PART)]
+    least = [F.min(F.expr(f"coalesce({known[k]}, {_sample(k)})")).alias(f"x{k}") for k in range(_PART)]
+    # The middle bits differ between terms; the last ones of a far rank are rounded.
+    own = F.array(*[F.shiftright(f"x{k}", 12).bitwiseAND(F.lit(0xFFFFFFFF)) for k in range(_PART)])
+    return _joined(terms.groupBy(*keys, "part").agg(*least), keys, own, samples).withColumnRenamed("own", "signature")
 
 
 def likeness(one: str, other: str, samples: int = SAMPLES) -> Column:
@@ -65,7 +108,9 @@ def fingerprint_texts(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """
     keyed = _keyed(docs)
     ids = keyed.select("d1", "d2", "doc_id").distinct()
-    return ids.join(_sketches(_texts(keyed), ["d1", "d2"], "text", samples), ["d1", "d2"]).drop("d1", "d2")
+    texts = _texts(keyed)
+    sketches = _sketches(texts, ["d1", "d2"], "text", samples, _frequent(keyed, samples))
+    return ids.join(sketches, ["d1", "d2"]).drop("d1", "d2")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -119,7 +164,7 @@ def compare_with_edits(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     both = both.select("d1", "d2", "text", F.concat(F.left("text", own - F.floor(own / 2).cast("int")), "given").alias("edited"))
     facts = both.select("d1", "d2", F.sha2("edited", 256).alias("edited_sha256"))
     versions = both.select("d1", "d2", F.posexplode(F.array("text", "edited")).alias("kind", "own"))
-    sketches = _sketches(versions, ["d1", "d2", "kind"], "own", samples)
+    sketches = _sketches(versions, ["d1", "d2", "kind"], "own", samples, _frequent(keyed, samples))
     per_doc = sketches.groupBy("d1", "d2").agg(
         F.max(F.when(F.col("kind") == 0, F.col("signature"))).alias("signature"),
         F.max(F.when(F.col("kind") == 1, F.col("signature"))).alias("edited_signature"),
