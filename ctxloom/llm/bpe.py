@@ -27,6 +27,7 @@ BLOCK_CHARS = 8 << 20
 MAX_VOCABULARY_BYTES = 64 << 20
 _PLACES = -1  # the bucket of the row that begins a block's places; the places themselves have those below
 _PART = 1 << 18  # places in a row
+_REMEMBERED = 1 << 19  # words of a bucket that a worker remembers at once
 
 
 def check_vocabulary(ranks: dict[bytes, int]) -> dict[bytes, int]:
@@ -161,7 +162,8 @@ def _exploded(docs: DataFrame, pattern: str, n_buckets: int, block_chars: int) -
 def _encoded_words(words: DataFrame, ranks) -> DataFrame:
     """(block, bucket, n, size, data): for each word of the row the number of its ids, then all ids.
 
-    Rows come sorted by bucket, and the words of one bucket are remembered until the next.
+    Rows come sorted by bucket, and the words of one bucket are remembered until the next, or until they are
+    too many to keep, whatever the corpus' size.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +178,7 @@ def _encoded_words(words: DataFrame, ranks) -> DataFrame:
                 sizes = np.frombuffer(raw, "<u4", row["n"])
                 ends = (np.cumsum(sizes, dtype=np.int64) + 4 * row["n"]).tolist()
                 begins = [4 * row["n"], *ends[:-1]]
-                if row["bucket"] != now:
+                if row["bucket"] != now or len(known) > _REMEMBERED:
                     known, now = {}, row["bucket"]
                 lists = []
                 for a, b in zip(begins, ends, strict=True):
@@ -205,45 +207,92 @@ def _from_planes(raw: bytes, at: int, n: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8, 4 * n, at).reshape(4, n).T).view("<u4").ravel()
 
 
-def _reassembled(places: pa.Table, encoded: pa.Table) -> pa.Table:
-    """A block's documents, from its places and, by bucket, the ids of its words."""
-    worker_state("words", dict)
-    release_memory()
-    rows = sorted(places.to_pylist(), key=lambda r: -r["bucket"])
-    head, parts = rows[0], rows[1:]
-    buckets = _from_planes(_spread(head["data"], head["size"]), 0, head["n"])
-    none = np.zeros(0, np.uint32)
-    codes = np.concatenate([none, *(_from_planes(_spread(p["data"], p["size"]), 0, p["n"]) for p in parts)])
+def _unpacked(table: pa.Table, k: int) -> bytes:
+    return _spread(table.column("data")[k].as_buffer(), table.column("size")[k].as_py())
+
+
+def _ids_of_block(places: pa.Table, encoded: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, borders) of a block's documents, from its places and, by bucket, the ids of its words."""
+    kinds, lengths = places.column("bucket").to_numpy(), places.column("n").to_numpy()
+    order = np.argsort(-kinds)  # the head, then the places part by part
+    buckets = _from_planes(_unpacked(places, order[0]), 0, int(lengths[order[0]]))
+    codes = np.concatenate([np.zeros(0, np.uint32), *(_from_planes(_unpacked(places, k), 0, int(lengths[k])) for k in order[1:])])
     # Words of a bucket were sent in the order of their numbers.
-    order = np.argsort(buckets, kind="stable")
-    lists = [none], [none]
-    for row in sorted(encoded.to_pylist(), key=lambda r: r["bucket"]):
-        words = _spread(row["data"], row["size"])
-        lists[0].append(np.frombuffer(words, "<u4", row["words"]))
-        lists[1].append(_from_planes(words, 4 * row["words"], row["n"]))
-    sizes, flat = np.empty(len(order), np.int64), np.concatenate(lists[1])
-    by_bucket = np.concatenate(lists[0])
-    begins = np.empty(len(order), np.int64)
-    begins[order] = np.cumsum(by_bucket, dtype=np.int64) - by_bucket
-    sizes[order] = by_bucket
-    n = sizes[codes]
-    cuts = np.concatenate([[0], np.cumsum(n)])
+    by_number = np.argsort(buckets, kind="stable")
+    n_words, n_ids = encoded.column("words").to_numpy(), encoded.column("n").to_numpy()
+    flat, by_bucket = np.empty(int(n_ids.sum()), np.uint32), np.empty(int(n_words.sum()), np.int32)
+    at_word = at_id = 0
+    for k in np.argsort(encoded.column("bucket").to_numpy()):
+        raw = _unpacked(encoded, k)
+        by_bucket[at_word : at_word + n_words[k]] = np.frombuffer(raw, "<u4", n_words[k])
+        flat[at_id : at_id + n_ids[k]] = _from_planes(raw, 4 * int(n_words[k]), int(n_ids[k]))
+        at_word, at_id = at_word + n_words[k], at_id + n_ids[k]
+    begins, sizes = np.empty(len(by_number), np.int64), np.empty(len(by_number), np.int32)
+    begins[by_number] = np.cumsum(by_bucket, dtype=np.int64) - by_bucket
+    sizes[by_number] = by_bucket
+    del buckets, by_bucket, by_number
+    counts = np.asarray(places.column("counts")[order[0]].values.to_numpy())
+    cuts = np.zeros(len(codes) + 1, np.int64)
+    np.cumsum(sizes[codes], out=cuts[1:])
     ids = np.empty(cuts[-1], np.uint32)
     for at in range(0, len(codes), _PART):
-        own, size, cut = codes[at : at + _PART], n[at : at + _PART], cuts[at : at + _PART + 1]
-        ids[cut[0] : cut[-1]] = flat[np.repeat(begins[own] - cut[:-1], size) + np.arange(cut[0], cut[-1])]
-    borders = cuts[np.concatenate([[0], np.cumsum(head["counts"], dtype=np.int64)])]
-    tokens = pa.ListArray.from_arrays(pa.array(borders, pa.int32()), pa.array(ids.view(np.int32)))
-    kind = places.schema.field("ids").type.value_type
-    return pa.Table.from_arrays([pa.array(head["ids"], kind), tokens], ["doc_id", "ids"])
+        own, cut = codes[at : at + _PART], cuts[at : at + _PART + 1]
+        ids[cut[0] : cut[-1]] = flat[np.repeat(begins[own] - cut[:-1], sizes[own]) + np.arange(cut[0], cut[-1])]
+    return ids, cuts[np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])]
+
+
+def _token_bytes(table) -> pa.Array:
+    """The bytes of each token, by its number."""
+    name, tokens = table.value
+    return worker_state(name, lambda: pa.array(tokens, pa.large_binary()))
+
+
+def _decoded(ids: pa.Array, borders: np.ndarray, tokens: pa.Array) -> pa.Array:
+    """The bytes of each list of ids. One buffer holds them all: nothing is copied list by list."""
+    found = tokens.take(ids)
+    if not len(found):
+        return pa.array([b""] * (len(borders) - 1), pa.binary())
+    offsets = np.frombuffer(found.buffers()[1], np.int64)[: len(found) + 1][borders]
+    if offsets[-1] >= 1 << 31:
+        raise ValueError("more than 2 GB of text in one block")
+    return pa.Array.from_buffers(pa.binary(), len(borders) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), found.buffers()[2]])
+
+
+def _reassembler(tokens):
+    """Puts a block's documents together and, given the tokens' bytes, decodes their ids in the same task."""
+
+    def run(places: pa.Table, encoded: pa.Table) -> pa.Table:
+        worker_state("words", dict) if tokens is None else _token_bytes(tokens)
+        head = places.column("bucket").to_numpy().argmax()
+        names = places.column("ids")[int(head)].values
+        ids, borders = _ids_of_block(places, encoded)
+        del places, encoded
+        flat = pa.array(ids.view(np.int32))
+        columns = {"doc_id": names, "ids": pa.ListArray.from_arrays(pa.array(borders, pa.int32()), flat)}
+        if tokens is not None:
+            columns["decoded"] = _decoded(flat, borders, _token_bytes(tokens))
+        release_memory()
+        return pa.table(columns)
+
+    return run
+
+
+def _bytes_by_number(docs: DataFrame, ranks: dict[bytes, int]):
+    tokens = [b""] * (1 + max(check_vocabulary(ranks).values()))
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, tokens))
 
 
-def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def encode_documents(
+    docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_chars: int = BLOCK_CHARS, decoded: bool = False
+) -> DataFrame:
     """(doc_id, ids): the token ids of each text, without special tokens.
 
     ``pattern`` finds the words, each merged for itself by ``ranks``. One row per row of ``docs``; null and
     empty texts have no ids; doc_id is only carried along and other columns are not looked at. Words of any
-    length are merged in about linear time.
+    length are merged in about linear time. ``decoded`` adds what ``decode_documents`` gives, in the task that
+    has the ids at hand.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -253,7 +302,8 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, blo
     words = pieces.filter("bucket >= 0").select("block", "bucket", "n", "size", "data")
     encoded = _encoded_words(words.repartition("bucket").sortWithinPartitions("bucket"), table)
     places = pieces.filter("bucket < 0").groupBy("block").cogroup(encoded.groupBy("block"))
-    return places.applyInArrow(_reassembled, with_doc_id(docs, "ids array<int>"))
+    tokens = _bytes_by_number(docs, ranks) if decoded else None
+    return places.applyInArrow(_reassembler(tokens), with_doc_id(docs, "ids array<int>" + ", decoded binary" * decoded))
 
 
 def decode_documents(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
@@ -262,26 +312,15 @@ def decode_documents(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     The table has one row per token of the vocabulary, a checked size, and goes to every task; the join
     takes a batch of ids at a time. Null ids decode to nothing; an id without token is an error.
     """
-    spark = encoded.sparkSession
-    ship_package(spark)
-    tokens = [b""] * (1 + max(check_vocabulary(ranks).values()))
-    for token, rank in ranks.items():
-        tokens[rank] = token
-    table = spark.sparkContext.broadcast(tokens)
+    ship_package(encoded.sparkSession)
+    table = _bytes_by_number(encoded, ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        worker_state("words", dict)
-        bytes_of = pa.array(table.value, pa.large_binary())
         for batch in batches:
             ids = batch.column("ids")
-            found = bytes_of.take(ids.flatten())
             borders = np.concatenate([[0], np.cumsum(ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
-            offsets = np.frombuffer(found.buffers()[1], np.int64)[: len(found) + 1] if len(found) else np.zeros(1, np.int64)
-            data = found.buffers()[2]
-            cuts = offsets[borders].tolist()
-            own = [data[a:b].to_pybytes() if a < b else b"" for a, b in zip(cuts, cuts[1:])]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), ids, pa.array(own, pa.binary())], ["doc_id", "ids", "decoded"]
+                [batch.column("doc_id"), ids, _decoded(ids.flatten(), borders, _token_bytes(table))], ["doc_id", "ids", "decoded"]
             )
         release_memory()
 

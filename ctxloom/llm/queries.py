@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ctxloom.llm.bpe import decode_documents, encode_documents
+from ctxloom.llm.bpe import encode_documents
 from ctxloom.llm.chat import chain_of_turns, format_branches, read_back
 from ctxloom.llm.common import read_table
 from ctxloom.llm.decontaminate import find_contamination
@@ -104,8 +104,8 @@ def op8_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 def op9_bpe(spark: SparkSession, sf: str) -> DataFrame:
     ranks = read_ranks("byte_bpe_50k.tiktoken")
-    encoded = encode_documents(read_table(spark, sf, "documents"), ranks, pretoken_pattern())
-    return decode_documents(encoded, ranks).select(
+    encoded = encode_documents(read_table(spark, sf, "documents"), ranks, pretoken_pattern(), decoded=True)
+    return encoded.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
