@@ -446,7 +446,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         from ctxloom.llm.queries import llm_queries
 
         own |= llm_queries()
-    if _present("corpus_pipeline"):
+    if _present("ctxloom.llm") and _present("corpus_pipeline"):
         import corpus_pipeline
 
         own["pipeline"] = corpus_pipeline.run
@@ -618,7 +618,7 @@ def oracle_sql() -> dict[str, str]:
         from ctxloom.llm.sql import llm_sql
 
         own |= llm_sql()
-    if _present("corpus_pipeline"):
+    if _present("ctxloom.llm") and _present("corpus_pipeline"):
         import corpus_pipeline
 
         if corpus_pipeline.ORACLE_SQL is not None:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ctxloom.llm.bpe import decode_documents, encode_documents
+from ctxloom.llm.bpe import encode_documents
 from ctxloom.llm.common import read_table, stored
 from ctxloom.llm.decontaminate import drop_contaminated
 from ctxloom.llm.langid import UNKNOWN, held_out, identify, train
@@ -55,7 +55,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, text): the ids and the text that they decode to."""
     ranks = read_ranks("byte_bpe_50k.tiktoken")
-    decoded = decode_documents(encode_documents(docs, ranks, pretoken_pattern()), ranks)
+    decoded = encode_documents(docs, ranks, pretoken_pattern(), decoded=True)
     return decoded.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", F.decode("decoded", "UTF-8").alias("text")
     )
