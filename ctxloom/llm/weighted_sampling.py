@@ -22,8 +22,9 @@ from ctxloom.runtime import parallelism
 
 SAMPLES = 128
 FREQUENT = 1 << 15  # terms with a weight whose samples go to every task: 1 KB each
-_LOOKED_AT = 4
+_LOOKED_AT = 16
 _PART = 16
+_HALF = 1 << 31
 _TOP = "9223372036854775807"
 
 
@@ -64,21 +65,21 @@ def _weights(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     return weights.select(*keys, F.xxhash64("term").alias("h"), "w")
 
 
-def _frequent(texts: DataFrame, samples: int) -> DataFrame:
+def _frequent(keyed: DataFrame, samples: int) -> DataFrame:
     """(h, w, drawn): all samples of the terms and weights above one most often met, FREQUENT rows at most.
 
     They are looked for among one text in _LOOKED_AT, chosen by hash. What is found saves time and changes
     no result: a sample is the same wherever it is drawn. For a weight of one drawing is as quick.
     """
-    some = texts.filter(F.pmod("d1", F.lit(_LOOKED_AT)) == 0)
-    often = _weights(some, ["d1", "d2"], "text").filter("w > 1").groupBy("h", "w").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    often = often.orderBy(F.desc("n"), "h", "w").limit(FREQUENT).repartition(parallelism(texts.sparkSession))
+    some = keyed.filter(F.pmod("d1", F.lit(_LOOKED_AT)) == 0)
+    often = _weights(_texts(some), ["d1", "d2"], "text").filter("w > 1").groupBy("h", "w").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    often = often.orderBy(F.desc("n"), "h", "w").limit(FREQUENT).repartition(parallelism(keyed.sparkSession))
     drawn = F.array(*[F.expr(_sample(k)) for k in range(_PART)])
     return _joined(_in_parts(often.select("h", "w"), samples), ["h", "w"], drawn, samples).withColumnRenamed("own", "drawn")
 
 
 def _sketches(rows: DataFrame, keys: list[str], text: str, samples: int, frequent: DataFrame) -> DataFrame:
-    """(keys, signature array<bigint>) of each row's text; ``rows`` must be partitioned by (a part of) the keys.
+    """(keys, signature array<int>) of each row's text; ``rows`` must be partitioned by (a part of) the keys.
 
     A term's samples are taken from ``frequent``, whose size is bounded, or drawn in place.
     """
@@ -86,7 +87,7 @@ def _sketches(rows: DataFrame, keys: list[str], text: str, samples: int, frequen
     known = [f"if(w = 1, null, get(drawn, part * {_PART} + {k}))" for k in range(_PART)]
     least = [F.min(F.expr(f"coalesce({known[k]}, {_sample(k)})")).alias(f"x{k}") for k in range(_PART)]
     # The middle bits differ between terms; the last ones of a far rank are rounded.
-    own = F.array(*[F.shiftright(f"x{k}", 12).bitwiseAND(F.lit(0xFFFFFFFF)) for k in range(_PART)])
+    own = F.array(*[(F.shiftright(f"x{k}", 12).bitwiseAND(F.lit(0xFFFFFFFF)) - _HALF).cast("int") for k in range(_PART)])
     return _joined(terms.groupBy(*keys, "part").agg(*least), keys, own, samples).withColumnRenamed("own", "signature")
 
 
@@ -97,7 +98,7 @@ def likeness(one: str, other: str, samples: int = SAMPLES) -> Column:
 
 
 def signature_text(signature: str) -> Column:
-    return F.array_join(F.transform(signature, lambda x: F.lower(F.lpad(F.hex(x), 8, "0"))), "")
+    return F.array_join(F.transform(signature, lambda x: F.lower(F.lpad(F.hex(x.cast("bigint") + _HALF), 8, "0"))), "")
 
 
 def fingerprint_texts(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
@@ -169,6 +170,8 @@ def compare_with_edits(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
         F.max(F.when(F.col("kind") == 0, F.col("signature"))).alias("signature"),
         F.max(F.when(F.col("kind") == 1, F.col("signature"))).alias("edited_signature"),
     )
-    known = stored(facts.join(per_doc, ["d1", "d2"]).join(following, ["d1", "d2"]), "signatures")
-    after = known.select(F.col("d1").alias("n1"), F.col("d2").alias("n2"), F.col("signature").alias("next_signature"))
-    return known.join(after, ["n1", "n2"]).drop("d1", "d2", "n1", "n2")
+    known = facts.join(per_doc, ["d1", "d2"]).join(following, ["d1", "d2"])
+    # A signature goes to the document before: the text's is drawn again for it, which is less than to store them all.
+    own = _sketches(_texts(keyed), ["d1", "d2"], "text", samples, _frequent(keyed, samples))
+    after = own.join(before.drop("half"), ["d1", "d2"]).select(F.col("p1").alias("d1"), F.col("p2").alias("d2"), F.col("signature").alias("next_signature"))
+    return known.join(after, ["d1", "d2"]).drop("d1", "d2", "n1", "n2")
