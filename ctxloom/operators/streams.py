@@ -23,6 +23,7 @@ from ctxloom.operators.packing import check_positive, join_pieces, pad_pieces
 from ctxloom.runtime import ship_package
 
 STREAM_SCHEMA = "file string, block bigint, seq bigint, docs bigint, n int, tokens array<int>"
+REJECT_SCHEMA = "ord bigint, reason string"
 _FLUSH_TOKENS = 1 << 20
 
 
@@ -43,6 +44,7 @@ class _Cutter:
         self.size = size
         self.rows: list[tuple[str, int, int, int]] = []
         self.arrays: list[np.ndarray] = []
+        self.rejects: list[tuple[str, int, int, str]] = []
         self.pending = 0
         self._open(None)
 
@@ -73,7 +75,12 @@ class _Cutter:
         self.pending += len(row)
         self.seq, self.docs = self.seq + 1, 0
 
-    def drain(self) -> pa.RecordBatch:
+    def reject(self, file, block, ord, reason) -> None:
+        """A row of its own that belongs to no stream."""
+        self.rejects.append((file, block, ord, reason))
+        self.pending += 1
+
+    def drain(self, with_rejects: bool = False) -> pa.RecordBatch:
         cols = list(zip(*self.rows)) or [(), (), (), ()]
         batch = pa.RecordBatch.from_arrays(
             [
@@ -86,9 +93,21 @@ class _Cutter:
             ],
             names=["file", "block", "seq", "docs", "n", "tokens"],
         )
-        self.rows, self.arrays, self.pending = [], [], 0
+        if with_rejects:
+            batch = self._beside(batch)
+        self.rows, self.arrays, self.rejects, self.pending = [], [], [], 0
         return batch
 
+    def _beside(self, batch: pa.RecordBatch) -> pa.RecordBatch:
+        """The stream's rows, then those of the rejected records."""
+        names, m, n = [*batch.schema.names, "ord", "reason"], batch.num_rows, len(self.rejects)
+        cols = list(zip(*self.rejects)) or [(), (), (), ()]
+        given = {"file": cols[0], "block": cols[1], "ord": cols[2], "reason": cols[3]}
+        kinds = dict(zip(names, [*batch.schema.types, pa.int64(), pa.string()], strict=True))
+        own = {c: batch.column(c) if c in batch.schema.names else pa.nulls(m, kinds[c]) for c in names}
+        added = {c: pa.array(given[c], kinds[c]) if c in given else pa.nulls(n, kinds[c]) for c in names}
+        return pa.RecordBatch.from_arrays([pa.concat_arrays([own[c], added[c]]) for c in names], names=names)
+
 
 def block_streams(df: DataFrame, preset: Preset, seqlen: int, vocab: Vocab | None = None) -> DataFrame:
     """(file, block, seq, docs, n, tokens) from documents (file, block, [ord], text or tokens).
@@ -96,12 +115,16 @@ def block_streams(df: DataFrame, preset: Preset, seqlen: int, vocab: Vocab | Non
     Rows must reach each task in order, blocks whole: straight from a file scan or by
     ``arrange_blocks``. With a vocabulary ``text`` is encoded here, in the same pass. ``docs`` counts
     documents that began since the row before. A null name is an error.
+
+    With a column ``reason`` (and ``ord``) rows that have one are rejected records: they enter no stream
+    and come out beside them in the same pass, as rows of (file, block, ord, reason) and nulls.
     """
     check_positive(seqlen=seqlen)
     ship_package(df.sparkSession)
     head = [] if preset.bos is None else [np.array([preset.bos], dtype=np.int32)]
     tail = [np.array([preset.eot], dtype=np.int32)]
     column = "tokens" if vocab is None else "text"
+    rejecting = "reason" in df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = None if vocab is None else vocab.encoder()
@@ -109,18 +132,33 @@ def block_streams(df: DataFrame, preset: Preset, seqlen: int, vocab: Vocab | Non
         for batch in batches:
             files, blocks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             values = batch.column(2)
+            reasons = batch.column("reason").to_pylist() if rejecting else [None] * batch.num_rows
             for i in range(batch.num_rows):
+                if reasons[i] is not None:
+                    cutter.reject(files[i], blocks[i], batch.column("ord")[i].as_py(), reasons[i])
+                    continue
                 if encode is None:
                     ids = values[i].values.to_numpy(zero_copy_only=False).astype(np.int32, copy=False)
                 else:
                     ids = encode(values[i].as_py())
                 cutter.add((files[i], blocks[i]), head + [ids] + tail)
                 if cutter.pending >= _FLUSH_TOKENS:
-                    yield cutter.drain()
+                    yield cutter.drain(rejecting)
         cutter.close()
-        yield cutter.drain()
+        yield cutter.drain(rejecting)
+
+    beside = ["ord", "reason"] if rejecting else []
+    schema = f"{STREAM_SCHEMA}, {REJECT_SCHEMA}" if rejecting else STREAM_SCHEMA
+    return named(df).select("file", "block", column, *beside).mapInArrow(run, schema)
 
-    return named(df).select("file", "block", column).mapInArrow(run, STREAM_SCHEMA)
+
+def split_rejects(stored: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(streams, rejects (file, block, ord, reason)) of stored block streams that hold both.
+
+    The rejects are read from their own columns alone, and only from where the file has any.
+    """
+    streams = stored.filter("reason is null").select(*[c.split()[0] for c in STREAM_SCHEMA.split(", ")])
+    return streams, stored.filter("reason is not null").select("file", "block", "ord", "reason")
 
 
 def block_totals(streams: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ctxloom.functions.arith import int_div
@@ -17,7 +17,7 @@ from ctxloom.functions.presets import NEOX, Preset, preset
 from ctxloom.operators.accounting import stats_from_totals
 from ctxloom.operators.encode import Vocab
 from ctxloom.operators.packing import check_positive, pad_pieces
-from ctxloom.operators.streams import arrange_blocks, block_streams, block_totals, stream_pieces
+from ctxloom.operators.streams import arrange_blocks, block_streams, block_totals, split_rejects, stream_pieces
 from ctxloom.plans import common
 from ctxloom.plans.common import JobResult, Placement, finish_job, place_rows
 from ctxloom.runtime import scratch_path, store
@@ -100,7 +100,8 @@ def tokenize_shuffle(
     ``encoder`` is a vocabulary, or a column function from text to ids. ``rows_per_block`` spreads
     a compressed file's lines over tasks before encoding, at the price of one shuffle of the text; it
     is for corpora of few, large compressed files. ``work`` takes the stored intermediates; by default it is
-    a fresh path in the shared folder. It can be dropped once the job is done. Streams are named by
+    a fresh path in the shared folder, and with ``on_bad_record="drop"`` the table of rejected records,
+    (file, block, ord, reason) in ``rejects``. It can be dropped once the job is done. Streams are named by
     their file relative to the folder that holds all inputs; ``name_of`` (path to name, one to one) names them otherwise.
     """
     check_positive(seqlen=seqlen, chunk_size=chunk_size, n_cells=n_cells)
@@ -111,10 +112,8 @@ def tokenize_shuffle(
     work = qualified(spark, work or scratch_path(spark, "tokenize"))
 
     lines = read_lines(spark, inputs, ext)
-    # Rejects are counted in the pass that encodes.
-    seen = Observation()
-    checked = check_records(lines).observe(seen, F.count_if(F.col("reason").isNotNull()).alias("rejects"))
-    docs = documents_of(checked, on_bad_record)
+    # Rejects leave the pass that encodes beside the streams.
+    docs = documents_of(check_records(lines), "keep" if on_bad_record == "drop" else on_bad_record)
     name = name_of(F.col("file")) if name_of else relative_name("file", parent)
     if rows_per_block:
         # Splits of a plain file are blocks already, and only within one is ``ord`` in file order.
@@ -122,12 +121,16 @@ def tokenize_shuffle(
         docs = arrange_blocks(docs, block=F.when(whole, int_div("ord", rows_per_block)).otherwise(F.col("block")))
     docs = docs.withColumn("file", name)
     streams = encode_stage(docs, encoder, rules, seqlen, f"{work}/streams")
+    rejects = None
+    if on_bad_record == "drop":
+        streams, rejects = split_rejects(streams)
+        rejects = store(rejects, f"{work}/rejects")
     files = scanned_files(lines).select(name.alias("file"))
     totals, per_file = account_stage(streams, rules, seqlen, work, files)
 
     placed = shard_pieces(streams, totals, per_file, rules, seqlen, chunk_size, seed, shuffle, n_cells)
     write_shards(placed.rows, output, placed.order, placed.shards, seqlen)
     result = finish_job(spark, output, per_file, chunk_size, seqlen, tokenizer, input_json, output_json)
-    result.rejects = seen.get["rejects"]
+    result.rejects = 0 if rejects is None else rejects.count()
     result.work = work
     return result

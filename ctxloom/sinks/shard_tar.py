@@ -1,4 +1,9 @@
-"""The ``shardtar`` sink: one tar per shard, and the manifest on commit."""
+"""The ``shardtar`` sink: one tar per shard, and the manifest on commit.
+
+A job claims its folder by a marker that names it, writes shards, then the manifest, then takes the marker
+away. So a folder is complete (a manifest), left behind by a job that failed (a marker alone) or none of
+ours. The next job takes over what was left behind and begins by clearing it away.
+"""
 
 from __future__ import annotations
 
@@ -20,11 +25,13 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 
 from ctxloom.runtime import ship_package
 from ctxloom.sources.manifest import MANIFEST_NAME
-from ctxloom.sources.paths import open_fs, qualified, write_small
+from ctxloom.sources.paths import open_fs, qualified, read_small, write_small
 
 FORMAT = "shardtar"
 # With default sizes about 4 GB of ids, sorted with spilling; more shards mean more tasks.
 SHARDS_PER_TASK = 64
+MARKER = "_unfinished"
+_PARTIAL = ".shard_"
 
 
 @dataclass
@@ -41,15 +48,26 @@ def gzip_json(parts: list[str]) -> bytes:
     return packer.compress(f"[{','.join(parts)}]".encode()) + packer.flush()
 
 
+def _renames(system: pafs.FileSystem) -> bool:
+    """Whether a file can be moved at no cost and at once. Object stores copy, but show nothing of an object before its end."""
+    if isinstance(system, pafs.SubTreeFileSystem):
+        return _renames(system.base_fs)
+    return system.type_name in ("local", "hdfs", "mock")
+
+
 class _OpenShard:
-    """A tar being written. It appears under its name only when complete."""
+    """A tar being written. It appears under its name only when complete.
+
+    Where files can be renamed it is written under another name first. An object store gets the whole shard
+    in one write under its final name; a shard is held in memory for that.
+    """
 
-    def __init__(self, folder: str, shard: int):
-        self.shard, self.count = shard, 0
+    def __init__(self, folder: str, shard: int, job: str):
+        self.shard, self.count, self.folder, self.job = shard, 0, folder, job
         self.system, inner = open_fs(folder)
         self.final = f"{inner}/shard_{shard:08d}.tar"
-        self.temp = f"{inner}/.shard_{shard:08d}.{uuid.uuid4().hex}"
-        self.out = self.system.open_output_stream(self.temp, compression=None)
+        self.temp = f"{inner}/{_PARTIAL}{shard:08d}.{job}.{uuid.uuid4().hex}" if _renames(self.system) else None
+        self.out = self.system.open_output_stream(self.temp, compression=None) if self.temp else io.BytesIO()
         self.tar = tarfile.open(fileobj=self.out, mode="w|", format=tarfile.GNU_FORMAT)
 
     def add(self, name: str, payload: bytes) -> None:
@@ -61,6 +79,11 @@ class _OpenShard:
 
     def close(self) -> None:
         self.tar.close()
+        check_claim(self.folder, self.job)
+        if self.temp is None:
+            with self.system.open_output_stream(self.final, compression=None) as out:
+                out.write(self.out.getbuffer())
+            return
         self.out.close()
         try:
             self.system.move(self.temp, self.final)
@@ -73,10 +96,47 @@ class _OpenShard:
     def discard(self) -> None:
         """Leave nothing of a shard that cannot be finished."""
         self.out.close()
-        if self.system.get_file_info(self.temp).type == pafs.FileType.File:
+        if self.temp is not None and self.system.get_file_info(self.temp).type == pafs.FileType.File:
             self.system.delete_file(self.temp)
 
 
+# ---------------------------------------------------------------- whose folder it is
+
+
+def _names(folder: str) -> list[str]:
+    system, inner = open_fs(folder)
+    if system.get_file_info(inner).type == pafs.FileType.NotFound:
+        return []
+    return [f.base_name for f in system.get_file_info(pafs.FileSelector(inner))]
+
+
+def check_unused(folder: str) -> None:
+    """Raise unless a job may write here: into a folder without shards, or one that a failed job left behind."""
+    names = _names(folder)
+    if MANIFEST_NAME in names:
+        raise FileExistsError(f"output already holds shards: {folder}")
+    if MARKER not in names and any(name.startswith("shard_") for name in names):
+        raise FileExistsError(f"output holds shards that no job of ours left behind: {folder}")
+
+
+def claim(folder: str, job: str) -> None:
+    """Mark the folder as this job's, and clear away what a failed one left there."""
+    check_unused(folder)
+    system, inner = open_fs(folder)
+    system.create_dir(inner, recursive=True)
+    write_small(f"{folder}/{MARKER}", job.encode())
+    for name in _names(folder):
+        if name.startswith(("shard_", _PARTIAL)):
+            system.delete_file(f"{inner}/{name}")
+
+
+def check_claim(folder: str, job: str) -> None:
+    """Raise if another job has taken the folder over. Every shard is shown only after this check."""
+    system, inner = open_fs(folder)
+    if system.get_file_info(f"{inner}/{MARKER}").type != pafs.FileType.File or read_small(f"{folder}/{MARKER}") != job.encode():
+        raise RuntimeError(f"another job has taken over {folder}")
+
+
 class ShardTarWriter(DataSourceArrowWriter):
     """Takes rows sorted by shard and member order, each shard in one task.
 
@@ -86,12 +146,12 @@ class ShardTarWriter(DataSourceArrowWriter):
     speculation are harmless. The manifest is the mark of a complete output.
     """
 
-    def __init__(self, folder: str, fields: list[str], seqlen: int | None):
-        self.folder, self.seqlen = folder, seqlen
+    def __init__(self, folder: str, fields: list[str], seqlen: int | None, job: str):
+        self.folder, self.seqlen, self.job = folder, seqlen, job
         self.pieces = "ids" in fields
         if not {"shard", "name", *(["ids", "n"] if self.pieces else ["payload"])} <= set(fields):
             raise ValueError("shardtar needs the columns shard, name and payload, or shard, name, ids and n")
-        open_fs(folder)[0].create_dir(open_fs(folder)[1], recursive=True)
+        claim(folder, job)
 
     def _members(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, str, bytes]]:
         if not self.pieces:
@@ -119,7 +179,7 @@ class ShardTarWriter(DataSourceArrowWriter):
                         written[target.shard] = target.count
                     if shard in written:
                         raise ValueError(f"rows of shard {shard} are not together")
-                    target = _OpenShard(self.folder, shard)
+                    target = _OpenShard(self.folder, shard, self.job)
                 target.add(name, payload)
             if target is not None:
                 target.close()
@@ -144,10 +204,20 @@ class ShardTarWriter(DataSourceArrowWriter):
             json.dumps({"num_sequences": int(n), "shard": f"shard_{int(i):08d}"}, separators=(",", ":"))
             for i, n in zip(ids, counts)
         )
+        check_claim(self.folder, self.job)
+        system, inner = open_fs(self.folder)
+        there = _names(self.folder)
+        shards = {f"shard_{int(i):08d}.tar" for i in ids}
+        if strange := {name for name in there if name.startswith("shard_")} ^ shards:
+            raise RuntimeError(f"shards missing or of another job in {self.folder}: {sorted(strange)[:3]}")
+        for name in there:
+            if name.startswith(_PARTIAL):  # of attempts that died; all tasks are over
+                system.delete_file(f"{inner}/{name}")
         write_small(f"{self.folder}/{MANIFEST_NAME}", "\n".join(lines).encode())
+        system.delete_file(f"{inner}/{MARKER}")
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
-        """Nothing to undo: an output without a manifest is incomplete, and a rerun writes the same names."""
+        """Nothing to undo: the marker stays, and the next job into this folder clears it."""
 
 
 class ShardTarSource(DataSource):
@@ -161,16 +231,8 @@ class ShardTarSource(DataSource):
         if overwrite:
             raise ValueError("shardtar does not overwrite; give a new folder")
         seqlen = self.options.get("seqlen")
-        return ShardTarWriter(self.options["path"].rstrip("/"), schema.fieldNames(), int(seqlen) if seqlen else None)
-
-
-def check_unused(folder: str) -> None:
-    system, inner = open_fs(folder)
-    if system.get_file_info(inner).type == pafs.FileType.NotFound:
-        return
-    names = [f.base_name for f in system.get_file_info(pafs.FileSelector(inner))]
-    if any(name == MANIFEST_NAME or name.startswith("shard_") for name in names):
-        raise FileExistsError(f"output already holds shards: {folder}")
+        job = self.options.get("job") or uuid.uuid4().hex
+        return ShardTarWriter(self.options["path"].rstrip("/"), schema.fieldNames(), int(seqlen) if seqlen else None, job)
 
 
 def write_shards(
@@ -197,7 +259,7 @@ def write_shards(
         values = [F.col("payload")]
     placed = df.repartitionById(tasks, F.pmod("shard", F.lit(tasks)).cast("int"))
     ready = placed.sortWithinPartitions("shard", *order).select("shard", "name", *values)
-    writer = ready.write.format(FORMAT).mode("append")
+    writer = ready.write.format(FORMAT).mode("append").option("job", uuid.uuid4().hex)
     if seqlen is not None:
         writer = writer.option("seqlen", str(seqlen))
     writer.save(folder)

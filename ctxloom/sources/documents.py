@@ -44,30 +44,45 @@ def _parsed(line: Column) -> tuple[Column, Column]:
     return as_item, single
 
 
+# Escaped backslashes and whole pairs are passed over; a half of a pair that remains stands alone.
+_PAIRS = r"\\\\|\\u[dD][89abAB][0-9a-fA-F]{2}\\u[dD][c-fC-F][0-9a-fA-F]{2}"
+_HALF = r"\\u[dD][89a-fA-F][0-9a-fA-F]{2}"
+
+
+def _lone_surrogate(line: Column) -> Column:
+    return line.rlike(_HALF) & F.regexp_replace(line, _PAIRS, "").rlike(_HALF)
+
+
 def check_records(lines: DataFrame) -> DataFrame:
     """Add ``text`` and ``reason``; exactly one of them is null.
 
-    A record must be a JSON object whose ``text`` is a string. The last of repeated keys counts.
+    A record must be a JSON object whose ``text`` is a string. The last of repeated keys counts. Escapes
+    that name half a character are no text, wherever they stand in the line.
+
+    Both columns come out of a generator of one row, so that a filter on them stays above it: pushed
+    below, its condition would parse each line again for every time it names the record.
     """
     item, single = _parsed(F.col("line"))
     utf8 = F.is_valid_utf8(F.col("line"))
-    staged = lines.withColumn("_item", F.when(utf8, item)).withColumn("_single", single)
+    staged = lines.withColumn("_utf8", utf8).withColumn("_item", F.when(utf8, item)).withColumn("_single", single)
     kind = F.schema_of_variant(F.col("_value"))
     staged = staged.withColumn("_value", F.when(F.size("_item") == 1, F.col("_item")[0]["text"]))
     reason = (
-        F.when(~utf8, "invalid utf-8")
+        F.when(~F.col("_utf8"), "invalid utf-8")
         .when(~F.col("line").rlike(r"\S"), "blank")
         .when(
             F.col("_item").isNull() | (F.size("_item") != 1) | ~F.col("_single") | F.col("_item")[0].isNull(),
             "not a JSON object",
         )
+        .when(_lone_surrogate(F.col("line")), "half a character")
         .when(F.col("_value").isNull(), "missing text")
         .when(kind == "VOID", "null text")
         .when(kind != "STRING", "text is not a string")
     )
-    staged = staged.withColumn("reason", reason)
-    text = F.when(F.col("reason").isNull(), F.try_variant_get("_value", "$", "string"))
-    return staged.withColumn("text", text).drop("_item", "_single", "_value")
+    staged = staged.withColumn("_reason", reason)
+    text = F.when(F.col("_reason").isNull(), F.try_variant_get("_value", "$", "string"))
+    both = F.array(F.struct(text.alias("text"), F.col("_reason").alias("reason")))
+    return staged.select(*lines.columns, F.inline_outer(both))
 
 
 def split_bad_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -79,9 +94,11 @@ def split_bad_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def documents_of(checked: DataFrame, on_bad_record: str = "fail") -> DataFrame:
-    """(file, block, ord, text) of checked lines."""
-    if on_bad_record not in ("fail", "drop"):
-        raise ValueError("on_bad_record is 'fail' or 'drop'")
+    """(file, block, ord, text) of checked lines; with ``'keep'`` also bad ones, and their reason."""
+    if on_bad_record not in ("fail", "drop", "keep"):
+        raise ValueError("on_bad_record is 'fail', 'drop' or 'keep'")
+    if on_bad_record == "keep":
+        return checked.select("file", "block", "ord", "text", "reason")
     if on_bad_record == "drop":
         return checked.filter(F.col("reason").isNull()).select("file", "block", "ord", "text")
     complaint = F.concat(F.lit("bad record in "), "file", F.lit(": "), "reason")
