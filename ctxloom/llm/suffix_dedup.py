@@ -15,6 +15,8 @@ and a block of documents sends an entry once, however often it has it.
 
 from __future__ import annotations
 
+import hashlib
+import secrets
 import uuid
 from collections.abc import Iterator
 
@@ -35,7 +37,6 @@ PERIOD = 133
 # Fixed value: differences of these, mod 133, are all numbers below 133.
 COVER = (0, 1, 3, 12, 20, 34, 38, 81, 88, 94, 104, 109)
 _SEGMENT = 1 << 18
-_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -45,13 +46,19 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class WindowHashes:
-    """Two 64-bit hashes of byte windows, from running sums of byte values times powers of an odd number."""
+    """Two 64-bit hashes of byte windows, from running sums of byte values times powers of an odd number.
 
-    def __init__(self) -> None:
+    Byte values and numbers are drawn anew for each run from ``seed``, which nobody knows beforehand: no text can
+    be written to have the hashes of another.
+    """
+
+    def __init__(self, seed: int) -> None:
         n = _SEGMENT + 2 * LENGTH
-        self.of_byte = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASES[0]))
-        self.powers = [np.cumprod(np.array([1] + [b] * n, np.uint64)) for b in _BASES]
-        self.inverse = [np.cumprod(np.array([1] + [pow(b, -1, 1 << 64)] * n, np.uint64)) for b in _BASES]
+        draw = np.random.default_rng(seed)
+        self.of_byte = draw.integers(0, 1 << 64, 256, np.uint64)
+        bases = [int(b) | 1 for b in draw.integers(0, 1 << 64, 2, np.uint64)]
+        self.powers = [np.cumprod(np.array([1] + [b] * n, np.uint64)) for b in bases]
+        self.inverse = [np.cumprod(np.array([1] + [pow(b, -1, 1 << 64)] * n, np.uint64)) for b in bases]
 
     def at(self, data: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of ``data[s : s + width]`` for the ascending ``starts``."""
@@ -76,15 +83,13 @@ def _pack(docs: DataFrame, block_bytes: int) -> DataFrame:
     """(block, ids, sizes, hashes, data): whole documents, their bytes compressed together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         squeeze = zstandard.ZstdCompressor(level=3)
         kind = None
         ids: list = []
         own: list[bytes] = []
 
         def row() -> pa.RecordBatch:
-            digests = [xxhash.xxh3_128_hexdigest(d) if len(d) >= LENGTH else "" for d in own]
+            digests = [hashlib.blake2b(d, digest_size=32).hexdigest() if len(d) >= LENGTH else "" for d in own]
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([uuid.uuid4().hex]), pa.array([ids], pa.list_(kind)),
@@ -198,11 +203,11 @@ def _expanded(data: bytes, n: int) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, n).T).view("<u8").ravel())
 
 
-def _send(blocks: DataFrame, step: int, n_buckets: int) -> DataFrame:
+def _send(blocks: DataFrame, step: int, n_buckets: int, seed: int) -> DataFrame:
     """(block, bucket, n, keys): what each block asks each bucket in this step."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WindowHashes()
+        hashes = WindowHashes(seed)
         for batch in batches:
             for row in batch.to_pylist():
                 block = _Block(row, hashes, n_buckets)
@@ -291,12 +296,13 @@ def remove_repeats(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame
     blocks = bucketed_by_block(packed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "block"))
     total = blocks.select(F.aggregate("sizes", F.lit(0).cast("bigint"), lambda n, x: n + x).alias("n")).agg(F.sum("n")).first()[0]
     n_buckets = 1 + (total or 0) // BUCKET_BYTES
+    seed = secrets.randbits(128)
     copies = stored(_copies(blocks), "copies")
-    first = _answers(_send(_informed(blocks, copies, []), 1, n_buckets), 1)
-    second = _answers(_send(_informed(blocks, copies, [first]), 2, n_buckets), 2)
+    first = _answers(_send(_informed(blocks, copies, []), 1, n_buckets, seed), 1)
+    second = _answers(_send(_informed(blocks, copies, [first]), 2, n_buckets, seed), 2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WindowHashes()
+        hashes = WindowHashes(seed)
         for batch in batches:
             kind = batch.schema.field("ids").type.value_type
             for row in batch.to_pylist():

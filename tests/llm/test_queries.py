@@ -91,3 +91,18 @@ def test_op10_samples_do_not_depend_on_what_is_broadcast(spark, sf, monkeypatch)
     some = sorted(map(str, ws.fingerprint_texts(docs).collect()))
     monkeypatch.setattr(ws, "FREQUENT", 1)
     assert sorted(map(str, ws.fingerprint_texts(docs).collect())) == some
+
+
+def test_op8_keeps_texts_written_to_collide(spark):
+    """Two texts that share no 200 bytes, made so that running sums over fixed numbers take them for equal."""
+    from ctxloom.llm.suffix_dedup import remove_repeats
+
+    same = "The committee met on the second day of the month and agreed to keep the record of every case open .."
+    ends = [
+        "aabaaaaabaaaaaaaaaaaabaabbbaabaabaaaabbaaabaaaaaaabaaaaaaaaaaabaaaaaaabaabbaaaabaaaaaaaaaabaaaaaaabb",
+        "baaabbaaaaababbabbabbabbaaabbabbaaabbaaabbaaabababaaabbbbbaabbabbaaabaabaabbaabbaaaabbbaababaaabaabaaaa",
+    ]
+    rows = spark.createDataFrame([(i, same + e) for i, e in enumerate(ends)], "doc_id long, text string")
+    assert all(r.removed == [] and r.kept.decode() == same + ends[r.doc_id] for r in remove_repeats(rows).collect())
+    twice = rows.unionByName(rows.filter("doc_id = 0"))
+    assert sorted(len(r.kept) for r in remove_repeats(twice).collect())[:2] == [0, 0]
