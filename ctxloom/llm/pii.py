@@ -12,6 +12,7 @@ import re
 from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +30,11 @@ _EPOCHS = 30
 _SLICE = 1 << 10  # atoms scored at once
 _FEATURES = 1 << 10
 
-# The patterns of the contract.
+# The patterns of the contract. An address cannot begin inside a run of digits: a match that fails from
+# the run's beginning fails from there too, and one that ends takes the whole run, so each run is looked at once.
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+_IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -185,13 +187,14 @@ def span_features(text: str, start: int, end: int) -> list[int]:
         f"letters {bool(re.search('[A-Za-z]', own))}", f"spaces {min(sum(map(str.isspace, own)), 5)}",
         f"plus {own[0] == '+'}", f"dots {min(own.count('.'), 5)}",
         f"luhn {luhn(digits)} {12 <= len(digits) <= 19}", f"ip {bool(_IP.fullmatch(own)) and _is_ip(own)}",
-        f"end {bool(re.search(r'(?:[.]|[(]dot[)]|\\[dot\\]) ?[A-Za-z]{2,6}$', own))} {min(len(_AT.findall(own)), 2)}",
+        f"end {bool(re.search(r'(?:[.]|[(]dot[)]|\[dot\]) ?[A-Za-z]{2,6}$', own))} {min(len(_AT.findall(own)), 2)}",
         f"sides {_side(before) in ('edge', 'space')} {_side(after) in ('edge', 'space', '.', ',')}",
         f"phone {bool(re.fullmatch(r'(?:[+]?[0-9]{1,3}[ .-]?)?(?:[(][0-9]{3}[)]|[0-9]{3})[ .-][0-9]{3}[ .-][0-9]{4}', own))}",
     ]
     return [hash_name(n) for n in names]
 
 
+@lru_cache(1 << 16)
 def hash_name(name: str) -> int:
     value = 2166136261
     for byte in name.encode():
