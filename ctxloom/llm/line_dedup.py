@@ -8,15 +8,23 @@ line; only lines that share such a key with another line emit their variants.
 
 from __future__ import annotations
 
+import secrets
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from ctxloom.llm.common import stored, wide_hash
+from ctxloom.runtime import ship_package
 
 MIN_CHARS = 20  # for the comparison within one edit
 _NOT_BLANK = r"(?U)\S"
 _QUARTERS = 4
 _SLOTS = 1 << 20
+_VARIANT_ROWS = 1 << 16
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -78,6 +86,60 @@ def _candidates(lines: DataFrame, firsts: DataFrame) -> DataFrame:
     return stored(some.join(_sharing(some, True), "h1", "left_semi"), "sharing")
 
 
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def variant_hashes(line: str, seed: int) -> np.ndarray:
+    """Hashes of the line as it is and without its first, second, ... character, in time linear in its length.
+
+    A text's hash is the sum of a number for each (character, place). What stands behind a character left
+    out moves up by one place, so a variant is a running sum of the line's numbers and one of the moved ones.
+    """
+    chars = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) << np.uint64(32)
+    salt = np.uint64(seed)
+    own = _mix(_mix(chars + np.arange(1, len(chars) + 1, dtype=np.uint64)) ^ salt)
+    moved = _mix(_mix(chars + np.arange(len(chars), dtype=np.uint64)) ^ salt)
+    before = np.concatenate([np.zeros(1, np.uint64), np.cumsum(own)])
+    behind = np.concatenate([np.cumsum(moved[::-1])[::-1], np.zeros(1, np.uint64)])
+    return np.concatenate([before[-1:], before[:-1] + behind[1:]]).view(np.int64)
+
+
+def _variants(lines: DataFrame) -> DataFrame:
+    """(me, i, v): the hash of each line (i = 0) and of each variant without its i-th character."""
+    ship_package(lines.sparkSession)
+    seed = secrets.randbits(64)  # nobody knows it beforehand, so no line can be written to collide
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            me = batch.column("me")
+            held, rows = [], 0
+
+            def out() -> pa.RecordBatch:
+                which = np.concatenate([np.full(len(v), k) for k, _, v in held])
+                places = np.concatenate([np.arange(at, at + len(v), dtype=np.int32) for _, at, v in held])
+                return pa.RecordBatch.from_arrays(
+                    [me.take(pa.array(which)), pa.array(places), pa.array(np.concatenate([v for _, _, v in held]))], ["me", "i", "v"]
+                )
+
+            for k in range(batch.num_rows):
+                hashes = variant_hashes(batch.column("line")[k].as_py(), seed)
+                for at in range(0, len(hashes), _VARIANT_ROWS):
+                    held.append((k, at, hashes[at : at + _VARIANT_ROWS]))
+                    rows += len(held[-1][2])
+                    if rows >= _VARIANT_ROWS:
+                        yield out()
+                        held, rows = [], 0
+            if held:
+                yield out()
+
+    sent = lines.select("line", F.struct("first", "h1", "h2").alias("me"))
+    schema = StructType([sent.schema["me"], StructField("i", IntegerType()), StructField("v", LongType())])
+    return sent.mapInArrow(run, schema)
+
+
 def _near_earlier(lines: DataFrame) -> DataFrame:
     """(h1, h2) of the lines that have an earlier line within one edit; ``lines`` are different texts.
 
@@ -85,20 +147,24 @@ def _near_earlier(lines: DataFrame) -> DataFrame:
     apart. So a variant's group is looked at once, not pair by pair, and no group is larger than the
     alphabet times the length.
     """
-    me = F.struct("first", "h1", "h2")
-    cut = F.concat(F.left("line", F.col("i") - 1), F.substring(F.col("line"), F.col("i") + 1, F.col("n")))
-    variants = lines.select("line", "n", me.alias("me"), F.explode(F.sequence(F.lit(0), F.col("n"))).alias("i"))
-    variants = variants.select("me", "i", F.when(F.col("i") == 0, F.xxhash64("line")).otherwise(F.xxhash64(cut)).alias("v"))
-    same_place = "min(me) over (partition by v, i)"
-    whole = "min(case when i = 0 then me end) over (partition by v)"
-    shorter = "min(case when i > 0 then me end) over (partition by v)"
-    ahead = variants.select("me", F.expr(f"case when i = 0 then {shorter} else least({same_place}, {whole}) end").alias("ahead"))
-    pairs = ahead.filter("ahead < me").select(
-        F.col("me.h1").alias("h1"), F.col("me.h2").alias("h2"), F.col("ahead.h1").alias("p1"), F.col("ahead.h2").alias("p2")
-    ).distinct()
+    variants = _variants(lines)
+    entry = "struct(me, i)"
+    same_place = f"min({entry}) over (partition by v, i)"
+    whole = f"min(case when i = 0 then {entry} end) over (partition by v)"
+    shorter = f"min(case when i > 0 then {entry} end) over (partition by v)"
+    ahead = variants.select("me", "i", F.expr(f"case when i = 0 then {shorter} else least({same_place}, {whole}) end").alias("ahead"))
+    pairs = ahead.filter("ahead.me < me").groupBy(
+        F.col("me.h1").alias("h1"), F.col("me.h2").alias("h2"), F.col("ahead.me.h1").alias("p1"), F.col("ahead.me.h2").alias("p2")
+    ).agg(F.min(F.struct("i", F.col("ahead.i").alias("j"))).alias("at"))
     other = lines.select(F.col("h1").alias("p1"), F.col("h2").alias("p2"), F.col("line").alias("other"))
     verified = pairs.join(lines.select("h1", "h2", "line"), ["h1", "h2"]).join(other, ["p1", "p2"])
-    return verified.filter(F.levenshtein("line", "other", 1) >= 0).select("h1", "h2").distinct()
+    # Equal texts after the edit are an edit distance of one, found in linear time.
+    return verified.filter(_without("line", F.col("at.i")) == _without("other", F.col("at.j"))).select("h1", "h2").distinct()
+
+
+def _without(text: str, place: Column) -> Column:
+    """The text without the character at a place counted from 1; as it is for place 0."""
+    return F.when(place == 0, F.col(text)).otherwise(F.concat(F.left(text, place - 1), F.substring(F.col(text), place + 1, F.char_length(text))))
 
 
 def mark_lines(docs: DataFrame, min_chars: int | None = None) -> DataFrame:

@@ -27,20 +27,25 @@ def _decontaminate(window: int) -> str:
         FROM d LEFT JOIN covered USING (k) LEFT JOIN items USING (k)"""
 
 
+# The characters that are white space.
+_SPACES = r"\x{9}-\x{d}\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+
+
 def _line_dedup(least: int) -> str:
     return f"""
         WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
           l AS (SELECT doc_id, i, lines[i] AS line FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS i FROM d)),
-          long AS (SELECT * FROM l WHERE length(line) >= {least}),
-          firsts AS (SELECT line, min({{'d': doc_id, 'i': i}}) AS first FROM long GROUP BY line),
+          own AS (SELECT * FROM l WHERE regexp_matches(line, '[^{_SPACES}]')),
+          firsts AS (SELECT line, min({{'d': doc_id, 'i': i}}) AS first FROM own GROUP BY line),
+          long AS (SELECT * FROM firsts WHERE length(line) >= {least}),
           cut AS (SELECT line, first, k, hash(left(line, k - 1) || substr(line, k + 1)) AS v
-                  FROM (SELECT *, unnest(range(1, length(line) + 1)) AS k FROM firsts)),
+                  FROM (SELECT *, unnest(range(1, length(line) + 1)) AS k FROM long)),
           place AS (SELECT v, k, min(first) AS first FROM cut GROUP BY v, k),
-          whole AS (SELECT hash(line) AS v, first, line FROM firsts),
+          whole AS (SELECT hash(line) AS v, first, line FROM long),
           near AS (SELECT line FROM cut JOIN place USING (v, k) WHERE place.first < cut.first
                    UNION SELECT cut.line FROM cut JOIN whole USING (v) WHERE whole.first < cut.first
                    UNION SELECT whole.line FROM cut JOIN whole USING (v) WHERE cut.first < whole.first),
-          gone AS (SELECT doc_id, i FROM long JOIN firsts USING (line)
+          gone AS (SELECT doc_id, i FROM own JOIN firsts USING (line)
                    WHERE {{'d': doc_id, 'i': i}} > first OR line IN (SELECT line FROM near)),
           kept AS (SELECT doc_id, count(*) FILTER ((doc_id, i) IN (SELECT (doc_id, i) FROM gone)) AS n,
                           string_agg(line, chr(10) ORDER BY i) FILTER ((doc_id, i) NOT IN (SELECT (doc_id, i) FROM gone)) AS text

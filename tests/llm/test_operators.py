@@ -55,7 +55,7 @@ def test_sql(spark, sf, name):
 
 
 def test_every_operator_is_registered():
-    assert [n.split("_")[0] for n in llm_queries()] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in llm_queries()] == [f"op{k}" for k in range(1, 14)]
 
 
 # ---------------------------------------------------------------- 1
