@@ -185,11 +185,12 @@ def mark_lines(docs: DataFrame, min_chars: int | None = None) -> DataFrame:
     compared = F.col("line").rlike(_NOT_BLANK) if min_chars is None else F.char_length("line") >= min_chars
     lines = exploded.filter(compared).withColumns({"h1": h1, "h2": h2})
     editable = lines.filter(F.char_length("line") >= (MIN_CHARS if min_chars is None else min_chars))
-    placed = lines.select("h1", "h2", F.struct("doc", "no").alias("pos"), "d1", "d2", "no")
+    placed = lines.select("h1", "h2", F.struct("doc", "no").alias("pos"), "d2")  # d1 is the document's hash in pos
     firsts = stored(placed.groupBy("h1", "h2").agg(F.min("pos").alias("first")), "lines")
     near = _near_earlier(_candidates(editable.select("h1", "h2", "line"), firsts))
     known = firsts.join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left")
     gone = placed.join(known, ["h1", "h2"]).filter("near or pos > first")
+    gone = gone.select(F.col("pos.doc.hash").alias("d1"), "d2", F.col("pos.no").alias("no"))
     per_doc = gone.groupBy("d1", "d2").agg(F.collect_set("no").alias("gone"))
     joined = keyed.select("d1", "d2", "lines", "_row").join(per_doc, ["d1", "d2"], "left")
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
