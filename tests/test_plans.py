@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from ctxloom.functions.encoders import encode_word_hash, word_count
+from ctxloom.operators.cascade import _number_shards, _rank_round
 from ctxloom.operators.offsets import stream_offsets
-from ctxloom.operators.shuffle import enumerate_contexts, global_shuffle, shard_lookup
+from ctxloom.operators.shuffle import enumerate_contexts, global_shuffle, shard_lookup, shuffle_key
 from ctxloom.operators.streams import arrange_blocks, block_streams
 from ctxloom.plans.tokenize_shuffle import account_stage, encode_stage, shard_pieces
 from ctxloom.runtime import scratch_path, spread_small
@@ -75,3 +76,13 @@ def test_only_small_tables_are_spread(spark, sf, monkeypatch):
     assert len(exchanges(spread_small(table))) == 1
     monkeypatch.setattr("ctxloom.runtime._SPLIT_BYTES", 1)
     assert exchanges(spread_small(table)) == []
+
+
+def test_cells_move_rows_once_and_never_by_cell(spark):
+    rows = spark.range(10**10).select(F.lit("f").alias("file"), F.col("id").alias("ctx"))
+    ranked = _rank_round(shuffle_key(rows, 1), 0, 128, False, 8192, 1, ("file", "ctx"))
+    moved = [c for c in exchanges(ranked) if "ctx" in c]
+    assert len(moved) == 1 and {"cell", "bucket"} <= moved[0]
+    n = F.col("ctx")
+    done = rows.select("file", "ctx", F.lit(0).alias("round"), F.pmod(n, F.lit(128)).alias("cell"), F.floor(n / 128).alias("blk"))
+    assert not any("ctx" in c for c in exchanges(_number_shards(done, 137)))
