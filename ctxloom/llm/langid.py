@@ -24,18 +24,42 @@ UNKNOWN = "und"
 TRAINING_TEXTS = 1000  # about as many different texts of each language are learnt from
 ROUNDS = 3
 _SMOOTHING = 0.1
-_LONGEST_PIECE = 16
-_LONGEST_WORD = 64  # letters; longer runs of letters are cut, and segmented part by part
+_LONG_WORD = 64  # letters; a longer word's lattice is walked place by place, to the same sums
 _CELLS = 1 << 20
 _REMEMBERED_WORDS = 3 << 17
+_REMEMBERED_LETTERS = 1 << 25
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 
 def words_of(text: str) -> list[str]:
-    found = _WORD.findall(text.lower())
-    if any(len(w) > _LONGEST_WORD for w in found):
-        found = [w[i : i + _LONGEST_WORD] for w in found for i in range(0, len(w), _LONGEST_WORD)]
-    return found
+    return _WORD.findall(text.lower())
+
+
+def _bytes_of(word: str) -> bytes:
+    """A space before each word stands for its beginning."""
+    return b" " + word.encode("utf-8", "replace")
+
+
+class Pieces(dict):
+    """Piece to number; ``reach`` has the length of the longest piece that begins with the given two bytes."""
+
+    def __init__(self, numbers: dict[bytes, int]) -> None:
+        super().__init__(numbers)
+        self.reach: dict[bytes, int] = {}
+        for piece in self:
+            self.reach[piece[:2]] = max(len(piece), self.reach.get(piece[:2], 1))
+        self.longest = max(map(len, self), default=1)
+
+    @classmethod
+    def of(cls, numbers: dict[bytes, int]) -> Pieces:
+        return numbers if isinstance(numbers, cls) else cls(numbers)
+
+    def at(self, data: bytes, start: int) -> list[tuple[int, int]]:
+        """(end, number) of each piece of the data at this place."""
+        get = self.get
+        stop = min(len(data), start + self.reach.get(data[start : start + 2], 1))
+        found = [(end, get(data[start:end])) for end in range(start + 1, stop + 1)]
+        return [e for e in found if e[1] is not None]
 
 
 @dataclass
@@ -49,17 +73,16 @@ class Lattice:
     length: np.ndarray  # bytes of each word
 
 
-def lattice(words: list[str], pieces: dict[bytes, int]) -> Lattice:
-    """A space before each word stands for its beginning."""
+def lattice(words: list[str], pieces: Pieces) -> Lattice:
     edges: list[tuple[int, int, int, int]] = []
-    get = pieces.get
+    get, reach = pieces.get, pieces.reach.get
     lengths = []
     for k, word in enumerate(words):
-        data = b" " + word.encode("utf-8", "replace")
+        data = _bytes_of(word)
         n = len(data)
         lengths.append(n)
         for start in range(n):
-            for end in range(start + 1, min(n, start + _LONGEST_PIECE) + 1):
+            for end in range(start + 1, min(n, start + reach(data[start : start + 2], 1)) + 1):
                 piece = get(data[start:end])
                 if piece is not None:
                     edges.append((k, start, end, piece))
@@ -92,10 +115,31 @@ def forward(lat: Lattice, log_p: np.ndarray) -> np.ndarray:
     return alpha
 
 
+def long_word_score(word: str, pieces: Pieces, log_p: np.ndarray) -> np.ndarray:
+    """(languages): the forward pass over one word, holding no more places than the longest piece spans."""
+    data = _bytes_of(word)
+    size = pieces.longest + 1
+    alpha = np.full((size, log_p.shape[1]), -np.inf)
+    alpha[0] = 0.0
+    waiting: list[list[tuple[int, int]]] = [[] for _ in range(size)]  # (start, piece), by end
+    for start in range(len(data)):
+        for end, piece in pieces.at(data, start):
+            waiting[end % size].append((start % size, piece))
+        end = (start + 1) % size
+        starts, numbers = zip(*waiting[end], strict=True) if waiting[end] else ((), ())
+        alpha[end] = np.logaddexp.reduce(alpha[list(starts)] + log_p[list(numbers)], axis=0) if starts else -np.inf
+        waiting[end] = []
+    return alpha[len(data) % size]
+
+
 def word_scores(words: list[str], pieces: dict[bytes, int], log_p: np.ndarray) -> np.ndarray:
     """(words, languages): log probability of each word, all segmentations taken together."""
+    pieces = Pieces.of(pieces)
     out = np.zeros((len(words), log_p.shape[1]))
     order = sorted(range(len(words)), key=lambda i: len(words[i]))
+    while order and len(words[order[-1]]) > _LONG_WORD:
+        last = order.pop()
+        out[last] = long_word_score(words[last], pieces, log_p)
     while order:
         step = max(1, min(4096, _CELLS // ((4 * len(words[order[min(len(order), 4096) - 1]]) + 2) * log_p.shape[1])))
         part, order = order[:step], order[step:]
@@ -105,8 +149,36 @@ def word_scores(words: list[str], pieces: dict[bytes, int], log_p: np.ndarray) -
     return out
 
 
+def _count_long_word(word: str, weight: float, pieces: Pieces, log_p: np.ndarray, out: np.ndarray) -> None:
+    """Adds one long word's expected counts: a backward pass, then each place's share of all segmentations."""
+    data = _bytes_of(word)
+    n = len(data)
+    beta = np.full(n + 1, -np.inf)
+    beta[n] = 0.0
+    for start in range(n - 1, -1, -1):
+        if own := pieces.at(data, start):
+            ends, numbers = map(list, zip(*own, strict=True))
+            beta[start] = np.logaddexp.reduce(log_p[numbers, 0] + beta[ends])
+    share = np.zeros(n + 1)
+    share[0] = weight
+    for start in range(n):
+        if share[start] and (own := pieces.at(data, start)):
+            ends, numbers = map(list, zip(*own, strict=True))
+            flow = share[start] * np.exp(log_p[numbers, 0] + beta[ends] - beta[start])
+            share[ends] += flow
+            out[numbers] += flow
+
+
 def expected_counts(words: list[str], weights: np.ndarray, pieces: dict[bytes, int], log_p: np.ndarray) -> np.ndarray:
     """How often each piece is used, in expectation over all segmentations; ``log_p`` of one language, as a column."""
+    pieces, weights = Pieces.of(pieces), np.asarray(weights)
+    long = np.array([len(w) > _LONG_WORD for w in words], bool)
+    if long.any():
+        short = np.nonzero(~long)[0]
+        out = expected_counts([words[i] for i in short], weights[short], pieces, log_p) if len(short) else np.zeros(len(log_p))
+        for i in np.nonzero(long)[0]:
+            _count_long_word(words[i], float(weights[i]), pieces, log_p, out)
+        return out
     lat = lattice(words, pieces)
     alpha = forward(lat, log_p)[:, :, 0]
     n, width = alpha.shape
@@ -128,12 +200,12 @@ def expected_counts(words: list[str], weights: np.ndarray, pieces: dict[bytes, i
 @dataclass
 class LanguageModel:
     languages: list[str]
-    pieces: dict[bytes, int]
+    pieces: Pieces
     log_p: np.ndarray  # (pieces, languages)
 
 
 def _training_texts(labelled: DataFrame, languages: dict[str, int], most: int) -> DataFrame:
-    """About ``most`` different texts of each language, chosen by the texts' hashes."""
+    """About ``most`` different texts of each language, chosen by the texts' hashes; ``languages`` has the different texts of each."""
     rate = F.create_map(*[F.lit(x) for lang, n in languages.items() for x in (lang, min(1.0, most / n))])
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / float(1 << 20)
     return labelled.filter(draw < rate[F.col("lang")]).dropDuplicates(["lang", "text"])
@@ -167,9 +239,11 @@ def train(labelled: DataFrame, vocabulary: dict[bytes, int], most: int = TRAININ
     spark = labelled.sparkSession
     ship_package(spark)
     usable = labelled.select("text", "lang").filter("text is not null and lang is not null")
-    found = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # Copies count once, as in the sample; an estimate will do for a rate.
+    different = F.greatest(F.approx_count_distinct(F.xxhash64("text")), F.lit(1)).alias("n")
+    found = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(different).collect()}
     names = sorted(found)
-    pieces = {p: i for i, p in enumerate(sorted(p for p in vocabulary if len(p) <= _LONGEST_PIECE))}
+    pieces = Pieces({p: i for i, p in enumerate(sorted(vocabulary))})
     if any(bytes([b]) not in pieces for b in range(256)):
         raise ValueError("a vocabulary with every single byte, so that each word can be segmented")
     log_p = np.full((len(pieces), len(names)), -np.log(len(pieces)))
@@ -215,14 +289,15 @@ class _Scorer:
     def __init__(self, model: LanguageModel) -> None:
         self.model = model
         self.number: dict[str, int] = {}
+        self.letters = 0
         self.table = np.zeros((0, len(model.languages)))
 
     def scores(self, many: list[str]) -> list[np.ndarray | None]:
         """Log probabilities by language; nothing for texts without letters."""
         if not self.model.languages:
             return [None] * len(many)
-        if len(self.number) > _REMEMBERED_WORDS:
-            self.number, self.table = {}, self.table[:0]
+        if len(self.number) > _REMEMBERED_WORDS or self.letters > _REMEMBERED_LETTERS:
+            self.number, self.letters, self.table = {}, 0, self.table[:0]
         places, fresh = [], []
         for text in many:
             own = words_of(text)
@@ -232,6 +307,7 @@ class _Scorer:
                     fresh.append(w)
             places.append(np.fromiter(map(self.number.__getitem__, own), np.int64, len(own)))
         if fresh:
+            self.letters += sum(map(len, fresh))
             self.table = np.concatenate([self.table, word_scores(fresh, self.model.pieces, self.model.log_p)])
         return [self.table[p].sum(axis=0) if len(p) else None for p in places]
 
