@@ -37,6 +37,7 @@ PERIOD = 133
 # Fixed value: differences of these, mod 133, are all numbers below 133.
 COVER = (0, 1, 3, 12, 20, 34, 38, 81, 88, 94, 104, 109)
 _SEGMENT = 1 << 18
+_PRIME = (1 << 31) - 1
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -45,35 +46,57 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    """``n`` powers of the base modulo the prime, from the zeroth on."""
+    out = np.ones(1, np.uint64)
+    while len(out) < n:
+        out = np.concatenate([out, out * np.uint64(pow(base, len(out), _PRIME)) % np.uint64(_PRIME)])
+    return out[:n]
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    """A smaller number of the same residue."""
+    return (x & np.uint64(_PRIME)) + (x >> np.uint64(31))
+
+
 class WindowHashes:
-    """Two 64-bit hashes of byte windows, from running sums of byte values times powers of an odd number.
+    """Two 64-bit hashes of byte windows, from three polynomials of their bytes modulo a prime.
 
-    Byte values and numbers are drawn anew for each run from ``seed``, which nobody knows beforehand: no text can
-    be written to have the hashes of another.
+    The polynomials are taken at places drawn anew for each run from ``seed``, which nobody knows beforehand.
+    Two different windows are polynomials that agree at fewer than LENGTH places, so that all three residues are
+    equal with a probability under (LENGTH / 2**31)**3, or 2**-70, however the texts were chosen; the first
+    hash keeps 64 bits of the residues.
     """
 
     def __init__(self, seed: int) -> None:
         n = _SEGMENT + 2 * LENGTH
         draw = np.random.default_rng(seed)
-        self.of_byte = draw.integers(0, 1 << 64, 256, np.uint64)
-        bases = [int(b) | 1 for b in draw.integers(0, 1 << 64, 2, np.uint64)]
-        self.powers = [np.cumprod(np.array([1] + [b] * n, np.uint64)) for b in bases]
-        self.inverse = [np.cumprod(np.array([1] + [pow(b, -1, 1 << 64)] * n, np.uint64)) for b in bases]
-
-    def at(self, data: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of ``data[s : s + width]`` for the ascending ``starts``."""
-        out = np.empty((2, len(starts)), np.uint64)
+        self.of_byte = np.arange(256, dtype=np.uint64) + draw.integers(1, _PRIME - 256, dtype=np.uint64)
+        bases = [int(b) for b in draw.integers(2, _PRIME - 1, 3)]
+        self.powers = [_powers(b, n) for b in bases]
+        self.inverse = [_powers(pow(b, -1, _PRIME), n) for b in bases]
+        self.salts = draw.integers(0, 1 << 64, 3, np.uint64) | np.uint64(1)
+
+    def residues(self, data: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
+        """(3, starts): each window's three residues, for the ascending ``starts``."""
+        out = np.empty((3, len(starts)), np.uint64)
         for at in range(0, len(data), _SEGMENT):
             a, b = np.searchsorted(starts, [at, at + _SEGMENT])
             if a == b:
                 continue
             values = self.of_byte[data[at : at + _SEGMENT + width]]
             own = starts[a:b] - at
-            for k in range(2):
+            for k in range(3):
                 sums = np.zeros(len(values) + 1, np.uint64)
-                np.cumsum(values * self.powers[k][: len(values)], out=sums[1:])
-                out[k, a:b] = (sums[own + width] - sums[own]) * self.inverse[k][own]
-        return _mix(out[0]), _mix(out[1])
+                np.cumsum(_fold(values * self.powers[k][: len(values)]), out=sums[1:])
+                out[k, a:b] = _fold(_fold(sums[own + width] - sums[own])) * self.inverse[k][own] % np.uint64(_PRIME)
+        return out
+
+    def at(self, data: np.ndarray, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of ``data[s : s + width]`` for the ascending ``starts``."""
+        one, two, three = self.residues(data, starts, width)
+        pair = one | (two << np.uint64(31))
+        return _mix(_mix(pair ^ self.salts[0]) + three * self.salts[1]), _mix(three + two * self.salts[2])
 
 
 # ---------------------------------------------------------------- blocks of documents
