@@ -13,7 +13,7 @@ from ctxloom.runtime import scratch_path, store
 from ctxloom.sinks.shard_tar import check_unused, write_shards
 from ctxloom.sources.listing import resolve_inputs
 from ctxloom.sources.paths import qualified, relative_name
-from ctxloom.sources.shards import TAR_SUFFIX, index_shards, read_ranges
+from ctxloom.sources.shards import TAR_SUFFIX, count_shards, read_ranges
 
 
 def member_shards(
@@ -46,14 +46,15 @@ def shuffle_shards(
 ) -> JobResult:
     """Shard tars to reshuffled shard tars. ``seqlen`` only serves the token count of the card.
 
-    Tokens are not counted, as contexts stay closed: ``token_count`` is 0 in the summary.
+    Tokens are not counted, as contexts stay closed: ``token_count`` is 0 in the summary. A tar that the
+    manifest beside it counts is read once; a count that is wrong stops the job.
     """
     check_positive(seqlen=seqlen, chunk_size=chunk_size, n_cells=n_cells)
     ext = ext or TAR_SUFFIX
     check_unused(qualified(spark, output))
     parent = resolve_inputs(spark, inputs, ext).parent
     work = qualified(spark, work or scratch_path(spark, "shuffle"))
-    ranges = store(index_shards(spark, inputs, ext), f"{work}/ranges")
+    ranges = store(count_shards(spark, inputs, ext), f"{work}/ranges")
     counts = ranges.groupBy(relative_name("src", parent).alias("file")).agg(F.sum("members").alias("contexts"))
     counts = store(counts, f"{work}/files")
     members = read_ranges(ranges).select(

@@ -81,19 +81,23 @@ def open_fs(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.LocalFileSystem(), normal_path(path)
 
 
+def is_local(path: str) -> bool:
+    return "://" not in path
+
+
 def codec_of(path: str) -> str | None:
     return _CODECS.get(path.rsplit(".", 1)[-1])
 
 
-def open_bytes(path: str):
+def open_bytes(path: str, read_bytes: int = _READ_BYTES):
     """Readable stream, decompressed by suffix; a plain file can be sought.
 
-    Large buffered reads keep the number of requests to an object store low.
+    Large buffered reads keep the number of requests to an object store low; ``read_bytes`` is the size of one.
     """
     system, inner = open_fs(path)
     codec = codec_of(path)
     if codec is None:
-        return io.BufferedReader(system.open_input_file(inner), _READ_BYTES)
+        return io.BufferedReader(system.open_input_file(inner), read_bytes)
     return pa.CompressedInputStream(system.open_input_stream(inner, compression=None), codec)
 
 

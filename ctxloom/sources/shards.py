@@ -13,14 +13,19 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from ctxloom.runtime import parallelism, ship_package
-from ctxloom.sources.listing import list_sized
-from ctxloom.sources.paths import codec_of, open_bytes
+from ctxloom.sources.listing import list_sized, resolve_inputs
+from ctxloom.sources.manifest import found_manifests
+from ctxloom.sources.paths import codec_of, is_local, open_bytes
 
 TAR_SUFFIX = "tar"
 RANGE_SCHEMA = "src string, first bigint, start bigint, end bigint, members bigint"
 MEMBER_SCHEMA = "src string, pos bigint, name string, payload binary"
 _RANGE_BYTES = 128 << 20
 _FLUSH_BYTES = 16 << 20
+# A local seek costs less than the bytes between two headers; to an object store each read is a request.
+_HEADER_READ = 1024
+# A tar up to this size is one task's work, so its member count is all that must be known beforehand.
+_WHOLE_BYTES = 1 << 30
 
 
 def _open_tar(stream, seekable: bool) -> tarfile.TarFile:
@@ -34,7 +39,8 @@ def _index_batches(range_bytes: int):
             for src in batch.column(0).to_pylist():
                 seekable = codec_of(src) is None
                 rows, first, start, members = [], 0, 0, 0
-                with open_bytes(src) as stream:
+                small = {"read_bytes": _HEADER_READ} if seekable and is_local(src) else {}
+                with open_bytes(src, **small) as stream:
                     tar = _open_tar(stream, seekable)
                     while (member := tar.next()) is not None:
                         if seekable and members and member.offset - start >= range_bytes:
@@ -67,7 +73,35 @@ def index_shards(
     Only member headers are read from a plain tar. The ranges let many tasks share one large tar.
     """
     ship_package(spark)
-    return list_sized(spark, paths, ext).select("file").mapInArrow(_index_batches(range_bytes), RANGE_SCHEMA)
+    return _walk(list_sized(spark, paths, ext), range_bytes)
+
+
+def _walk(files: DataFrame, range_bytes: int) -> DataFrame:
+    return files.select("file").mapInArrow(_index_batches(range_bytes), RANGE_SCHEMA)
+
+
+def count_shards(
+    spark: SparkSession, paths: list[str] | str, ext: str = TAR_SUFFIX, range_bytes: int = _RANGE_BYTES,
+    whole_bytes: int = _WHOLE_BYTES,
+) -> DataFrame:
+    """The ranges of ``index_shards``, without opening a tar that a manifest in its folder counts.
+
+    Such a tar is one range. Tars over ``whole_bytes``, tars that no manifest names (or two lines name
+    differently), and inputs given file by file are walked. ``read_ranges`` checks every count while reading.
+    """
+    ship_package(spark)
+    files = list_sized(spark, paths, ext)
+    folders = resolve_inputs(spark, paths, ext).dirs
+    if not folders:
+        return _walk(files, range_bytes)
+    stem = F.regexp_replace("file", r"\.[^/]*$", "")
+    told = files.select("file", "bytes", stem.alias("stem")).join(found_manifests(spark, list(folders)), "stem", "left")
+    trusted = F.coalesce((F.col("bytes") <= whole_bytes) & (F.col("members") > 0), F.lit(False))
+    zero = F.lit(0).cast("bigint")
+    whole = told.filter(trusted).select(
+        F.col("file").alias("src"), zero.alias("first"), zero.alias("start"), zero.alias("end"), "members"
+    )
+    return whole.unionByName(_walk(told.filter(~trusted), range_bytes))
 
 
 def _member_batch(cols: list[list]) -> pa.RecordBatch:
@@ -79,7 +113,7 @@ def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     cols: list[list] = [[], [], [], []]
     held = 0
     for batch in batches:
-        for src, first, start, end in zip(*(batch.column(i).to_pylist() for i in range(4))):
+        for src, first, start, end, members in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
             seekable = codec_of(src) is None
             with open_bytes(src) as stream:
                 if seekable:
@@ -98,13 +132,18 @@ def _read_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     if held >= _FLUSH_BYTES:
                         yield _member_batch(cols)
                         cols, held = [[], [], [], []], 0
+            if members is not None and pos - first != members:
+                raise ValueError(f"{members} members were counted and {pos - first} read: {src}, from byte {start}")
     yield _member_batch(cols)
 
 
 def read_ranges(ranges: DataFrame) -> DataFrame:
-    """(src, pos, name, payload) of indexed ranges, spread over tasks range by range."""
+    """(src, pos, name, payload) of indexed ranges, spread over tasks range by range.
+
+    A range that has not as many members as it says stops the job.
+    """
     ship_package(ranges.sparkSession)
-    spread = ranges.select("src", "first", "start", "end").repartition(parallelism(ranges.sparkSession))
+    spread = ranges.select("src", "first", "start", "end", "members").repartition(parallelism(ranges.sparkSession))
     return spread.mapInArrow(_read_members, MEMBER_SCHEMA)
 
 
@@ -116,7 +155,8 @@ def read_shards(spark: SparkSession, paths: list[str] | str, ext: str = TAR_SUFF
     ship_package(spark)
     zero = F.lit(0).cast("bigint")
     whole = list_sized(spark, paths, ext).select(
-        F.col("file").alias("src"), zero.alias("first"), zero.alias("start"), zero.alias("end")
+        F.col("file").alias("src"), zero.alias("first"), zero.alias("start"), zero.alias("end"),
+        F.lit(None).cast("bigint").alias("members"),
     )
     return whole.mapInArrow(_read_members, MEMBER_SCHEMA)
 
