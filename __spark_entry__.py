@@ -50,15 +50,20 @@ SHORT = 128  # context length of the shuffle queries: enough contexts at small s
 CHUNK = 64
 CELLS = 128
 ROWS_PER_FILE = 64
-VOCAB_WORDS = 500
+VOCAB_WORDS = 50000  # about what a published vocabulary has
 RULES = preset(NEOX, "hf")
 
 
 # ---------------------------------------------------------------- shared pieces
 
 
+def _table(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents; one without a text counts as empty."""
+    return spark.read.parquet(f"{sf}/documents.parquet").withColumn("text", F.coalesce("text", F.lit("")))
+
+
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
-    table = spark.read.parquet(f"{sf}/documents.parquet").filter("text is not null")
+    table = _table(spark, sf)
     return spread_small(table.select(F.col("source").alias("file"), F.col("doc_id").alias("ord"), "text"))
 
 
@@ -102,7 +107,7 @@ def _file_number() -> Column:
 def _corpus_files(spark: SparkSession, sf: str) -> str:
     """The documents as gzipped JSON lines, a fixed number of rows per file."""
     path = scratch_path(spark, "corpus")
-    table = spark.read.parquet(f"{sf}/documents.parquet").filter("text is not null")
+    table = _table(spark, sf)
     rows = table.select(_file_number().alias("no"), "doc_id", "text", "lang")
     rows = rows.repartition("no").sortWithinPartitions("no", "doc_id")
     rows.write.partitionBy("no").option("compression", "gzip").json(path)
@@ -177,7 +182,7 @@ def output_size(spark: SparkSession, sf: str) -> DataFrame:
 
 def _plain_files(spark: SparkSession, sf: str) -> str:
     path = scratch_path(spark, "plain")
-    table = spark.read.parquet(f"{sf}/documents.parquet").filter("text is not null")
+    table = _table(spark, sf)
     rows = table.select(_file_number().alias("no"), F.concat("doc_id", F.md5("text")).alias("value"))
     rows.repartition("no").write.partitionBy("no").text(path)
     return path
@@ -197,7 +202,7 @@ def doc_scan(spark: SparkSession, sf: str) -> DataFrame:
 def record_checks(spark: SparkSession, sf: str) -> DataFrame:
     """Every document as a line, most of them spoilt in one of several ways."""
     path = scratch_path(spark, "lines")
-    table = spark.read.parquet(f"{sf}/documents.parquet").filter("text is not null")
+    table = _table(spark, sf)
     good = F.to_json(F.struct("text", "lang"))
     kind = F.pmod("doc_id", F.lit(10))
     line = (
@@ -461,9 +466,10 @@ def _present(module: str) -> bool:
 
 # ---------------------------------------------------------------- oracles
 
-_DOCS = "SELECT source AS file, doc_id AS ord, text FROM documents WHERE text IS NOT NULL"
-_BY_NUMBER = f"SELECT (doc_id // {ROWS_PER_FILE})::VARCHAR AS file, doc_id AS ord, text FROM documents WHERE text IS NOT NULL"
-_BY_DOC = "SELECT doc_id::VARCHAR AS file, doc_id AS ord, text FROM documents WHERE text IS NOT NULL"
+_TABLE = "(SELECT * REPLACE (coalesce(text, '') AS text) FROM documents)"
+_DOCS = f"SELECT source AS file, doc_id AS ord, text FROM {_TABLE}"
+_BY_NUMBER = f"SELECT (doc_id // {ROWS_PER_FILE})::VARCHAR AS file, doc_id AS ord, text FROM {_TABLE}"
+_BY_DOC = f"SELECT doc_id::VARCHAR AS file, doc_id AS ord, text FROM {_TABLE}"
 _WORDS = "list_filter(string_split(text, ' '), lambda w: w <> '')"
 _HASHED = f"list_transform({_WORDS}, lambda w: ('0x' || substr(md5(w), 1, 4))::BIGINT % 50000 + 1)"
 _HEX = "regexp_extract_all(hex(encode({})), '..')"
@@ -634,19 +640,19 @@ def _own_oracles() -> dict[str, str]:
     return {
         "corpus_listing": f"""
             SELECT doc_id // {ROWS_PER_FILE} AS no, sum(length(doc_id::VARCHAR) + 33)::BIGINT AS bytes
-            FROM documents WHERE text IS NOT NULL GROUP BY 1""",
-        "output_size": "SELECT sum(length(doc_id::VARCHAR) + 33)::BIGINT AS size FROM documents WHERE text IS NOT NULL",
+            FROM {_TABLE} GROUP BY 1""",
+        "output_size": f"SELECT sum(length(doc_id::VARCHAR) + 33)::BIGINT AS size FROM {_TABLE}",
         "doc_scan": f"""
             SELECT doc_id // {ROWS_PER_FILE} AS no,
                    row_number() OVER (PARTITION BY doc_id // {ROWS_PER_FILE} ORDER BY doc_id) AS line,
-                   md5(text) AS text_md5 FROM documents WHERE text IS NOT NULL""",
-        "record_checks": """
+                   md5(text) AS text_md5 FROM {_TABLE}""",
+        "record_checks": f"""
             SELECT CASE doc_id % 10 WHEN 0 THEN 'not a JSON object' WHEN 1 THEN 'not a JSON object'
                    WHEN 2 THEN 'missing text' WHEN 3 THEN 'null text' WHEN 4 THEN 'text is not a string'
                    WHEN 5 THEN 'not a JSON object' WHEN 6 THEN 'blank' ELSE 'good' END AS outcome,
                    count(*) AS n,
                    coalesce(sum(CASE WHEN doc_id % 10 >= 7 THEN octet_length(encode(text)) END), 0)::BIGINT AS text_bytes
-            FROM documents WHERE text IS NOT NULL GROUP BY 1""",
+            FROM {_TABLE} GROUP BY 1""",
         "shard_scan": f"""{_JOB_PLACED}
             SELECT 'shard_' || lpad(shard::VARCHAR, 8, '0') AS shard, count(*) AS members, max(idx) AS last_pos
             FROM sharded GROUP BY 1""",
