@@ -1,5 +1,6 @@
 import json
 
+import pyarrow as pa
 import pytest
 import tiktoken
 import tokenizers
@@ -84,3 +85,36 @@ def test_vocabulary_size_is_checked(spark, rank_file, monkeypatch):
     monkeypatch.setattr(enc, "MAX_VOCAB_BYTES", 10)
     with pytest.raises(ValueError, match="broadcast limit"):
         load_rank_vocab(spark, rank_file)
+
+
+def test_dictionary_sends_a_block_s_words_once(spark, tmp_path, rank_file):
+    """Ten thousand times the same text: what meets the dictionary must not grow with it."""
+    vocab = load_rank_vocab(spark, rank_file)
+    many = spark.range(10000).select(F.lit("f").alias("file"), F.col("id").alias("ord"), F.lit("the quick other the").alias("text"))
+    sizes = []
+    stored = enc.store
+
+    def counted(df, path):
+        out = stored(df, path)
+        sizes.append(out.count())
+        return out
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(enc, "store", counted)
+        out = encode_corpus(many, vocab, plan="dictionary")
+    assert max(sizes) <= 64
+    want = encode_corpus(many.limit(1), vocab).first().tokens
+    assert [r.tokens for r in out.select("tokens").distinct().collect()] == [want] and out.count() == 10000
+
+
+def test_dictionary_with_repeated_and_null_ids(spark, rank_file):
+    vocab = load_rank_vocab(spark, rank_file)
+    rows = [("a", 1, "the other"), ("a", 1, "the end x"), (None, None, "the the"), (None, None, None), ("b", 2, None), ("b", 3, "")]
+    df = spark.createDataFrame(rows, "file string, ord long, text string")
+    out = {(r.file, r.ord): r.tokens for r in encode_corpus(df, vocab, plan="dictionary").collect()}
+    one = lambda text: list(vocab.encoder()(text))
+    pair = sorted([one(" other"), one(" end")])
+    assert out == {
+        ("a", 1): one("the") * 2 + pair[0] + pair[1] + one(" x"), (None, None): one("the") + one(" the"),
+        ("b", 2): [], ("b", 3): [],
+    }
