@@ -118,3 +118,11 @@ def test_dictionary_with_repeated_and_null_ids(spark, rank_file):
         ("a", 1): one("the") * 2 + pair[0] + pair[1] + one(" x"), (None, None): one("the") + one(" the"),
         ("b", 2): [], ("b", 3): [],
     }
+
+
+def test_a_batch_is_encoded_in_small_parts(spark, rank_file):
+    """No more than a few hundred texts of a batch are Python objects at once."""
+    udf = enc._encode_udf(load_rank_vocab(spark, rank_file))
+    parts = list(udf.func(iter([pa.array(["the end"] * 1000 + [None])])))
+    assert max(len(p) for p in parts) <= 256 and sum(len(p) for p in parts) == 1001
+    assert parts[-1][-1].as_py() == []
