@@ -165,13 +165,15 @@ def compare_with_edits(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     both = both.select("d1", "d2", "text", F.concat(F.left("text", own - F.floor(own / 2).cast("int")), "given").alias("edited"))
     facts = both.select("d1", "d2", F.sha2("edited", 256).alias("edited_sha256"))
     versions = both.select("d1", "d2", F.posexplode(F.array("text", "edited")).alias("kind", "own"))
-    sketches = _sketches(versions, ["d1", "d2", "kind"], "own", samples, _frequent(keyed, samples))
+    # Stored, so that it is drawn once and is one broadcast for both joins below.
+    frequent = stored(_frequent(keyed, samples), "frequent")
+    sketches = _sketches(versions, ["d1", "d2", "kind"], "own", samples, frequent)
     per_doc = sketches.groupBy("d1", "d2").agg(
         F.max(F.when(F.col("kind") == 0, F.col("signature"))).alias("signature"),
         F.max(F.when(F.col("kind") == 1, F.col("signature"))).alias("edited_signature"),
     )
     known = facts.join(per_doc, ["d1", "d2"]).join(following, ["d1", "d2"])
     # A signature goes to the document before: the text's is drawn again for it, which is less than to store them all.
-    own = _sketches(_texts(keyed), ["d1", "d2"], "text", samples, _frequent(keyed, samples))
+    own = _sketches(_texts(keyed), ["d1", "d2"], "text", samples, frequent)
     after = own.join(before.drop("half"), ["d1", "d2"]).select(F.col("p1").alias("d1"), F.col("p2").alias("d2"), F.col("signature").alias("next_signature"))
     return known.join(after, ["d1", "d2"]).drop("d1", "d2", "n1", "n2")
