@@ -23,15 +23,15 @@ from ctxloom.runtime import parallelism
 SAMPLES = 128
 FREQUENT = 1 << 15  # terms with a weight whose samples go to every task: 1 KB each
 _LOOKED_AT = 16
-_PART = 16
+_PART = 8
 _HALF = 1 << 31
 _TOP = "9223372036854775807"
 
 
-def _sample(k: int) -> str:
+def _sample(k: int, known: str = "") -> str:
     """Sample ``part * _PART + k`` of a term with hash ``h`` and weight ``w``: 1 - exp(-rank) in steps of 2^-63.
 
-    The least of a text's names the sampled term and its t.
+    The least of a text's names the sampled term and its t. ``known`` is a further case, for a weight above one.
     """
     hashed = f"xxhash64(h, part * {_PART} + {k})"
     plain = f"({hashed} & {_TOP})"
@@ -42,7 +42,7 @@ def _sample(k: int) -> str:
     r = f"(-{ln_u} - ln({x} / ({x} + {y})))"
     t = f"floor((ln(w) - {ln_u}) / {r})"
     far = f"cast(-expm1(-{x} * exp(-{r} * {t})) * {_TOP}D as bigint)"
-    return f"case when w = 1 then {plain} when w * {x} < {x} + {y} then {plain} else {far} end"
+    return f"case when w = 1 then {plain} {known} when w * {x} < {x} + {y} then {plain} else {far} end"
 
 
 def _in_parts(rows: DataFrame, samples: int) -> DataFrame:
@@ -50,6 +50,12 @@ def _in_parts(rows: DataFrame, samples: int) -> DataFrame:
     return rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(-(-samples // _PART) - 1))))
 
 
+def _least(terms: DataFrame, keys: list[str], samples: int, known: str = "") -> DataFrame:
+    """(keys, part, x0, x1, ...): the least samples over the rows of each key. Aggregates are compiled, arrays of samples are not."""
+    least = [F.expr(f"min({_sample(k, known.format(k=f'part * {_PART} + {k}'))})").alias(f"x{k}") for k in range(_PART)]
+    return _in_parts(terms, samples).groupBy(*keys, "part").agg(*least)
+
+
 def _joined(parts: DataFrame, keys: list[str], own: Column, samples: int) -> DataFrame:
     """(keys, own): the parts' arrays as one."""
     whole = parts.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("part", own.alias("own")))).alias("parts"))
@@ -73,9 +79,10 @@ def _frequent(keyed: DataFrame, samples: int) -> DataFrame:
     """
     some = keyed.filter(F.pmod("d1", F.lit(_LOOKED_AT)) == 0)
     often = _weights(_texts(some), ["d1", "d2"], "text").filter("w > 1").groupBy("h", "w").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    often = often.orderBy(F.desc("n"), "h", "w").limit(FREQUENT).repartition(parallelism(keyed.sparkSession))
-    drawn = F.array(*[F.expr(_sample(k)) for k in range(_PART)])
-    return _joined(_in_parts(often.select("h", "w"), samples), ["h", "w"], drawn, samples).withColumnRenamed("own", "drawn")
+    often = often.orderBy(F.desc("n"), "h", "w").limit(FREQUENT)
+    often = often.select("h", "w").repartition(parallelism(keyed.sparkSession), "h", "w")
+    drawn = F.array(*[f"x{k}" for k in range(_PART)])
+    return _joined(_least(often, ["h", "w"], samples), ["h", "w"], drawn, samples).withColumnRenamed("own", "drawn")
 
 
 def _sketches(rows: DataFrame, keys: list[str], text: str, samples: int, frequent: DataFrame) -> DataFrame:
@@ -83,12 +90,11 @@ def _sketches(rows: DataFrame, keys: list[str], text: str, samples: int, frequen
 
     A term's samples are taken from ``frequent``, whose size is bounded, or drawn in place.
     """
-    terms = _in_parts(_weights(rows, keys, text).join(F.broadcast(frequent), ["h", "w"], "left"), samples)
-    known = [f"if(w = 1, null, get(drawn, part * {_PART} + {k}))" for k in range(_PART)]
-    least = [F.min(F.expr(f"coalesce({known[k]}, {_sample(k)})")).alias(f"x{k}") for k in range(_PART)]
+    terms = _weights(rows, keys, text).join(F.broadcast(frequent), ["h", "w"], "left")
+    least = _least(terms, keys, samples, "when drawn is not null then get(drawn, {k})")
     # The middle bits differ between terms; the last ones of a far rank are rounded.
     own = F.array(*[(F.shiftright(f"x{k}", 12).bitwiseAND(F.lit(0xFFFFFFFF)) - _HALF).cast("int") for k in range(_PART)])
-    return _joined(terms.groupBy(*keys, "part").agg(*least), keys, own, samples).withColumnRenamed("own", "signature")
+    return _joined(least, keys, own, samples).withColumnRenamed("own", "signature")
 
 
 def likeness(one: str, other: str, samples: int = SAMPLES) -> Column:
@@ -122,9 +128,13 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def _texts(keyed: DataFrame) -> DataFrame:
     """(d1, d2, text): repeated rows once, partitioned by the key. The plan's one shuffle of whole texts, used again wherever this stands."""
+    return _by_key(keyed.select("d1", "d2", "text")).dropDuplicates(["d1", "d2"])
+
+
+def _by_key(rows: DataFrame) -> DataFrame:
     # Four times the usual partitions: a task counts all words of its documents in memory.
-    n = 4 * int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return keyed.select("d1", "d2", "text").repartition(n, "d1", "d2").dropDuplicates(["d1", "d2"])
+    n = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n, "d1", "d2")
 
 
 def _next_keys(ids: DataFrame) -> DataFrame:
@@ -159,21 +169,23 @@ def compare_with_edits(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     half = F.floor(F.col("n_chars") / 2).cast("int")
     # Each text is cut for the document before it, then meets the piece that it gets itself.
     before = following.select(F.col("n1").alias("d1"), F.col("n2").alias("d2"), F.col("d1").alias("p1"), F.col("d2").alias("p2"), half.alias("half"))
-    given = _texts(keyed).join(before, ["d1", "d2"]).select(F.col("p1").alias("d1"), F.col("p2").alias("d2"), F.left("text", "half").alias("given"))
+    # Repeated rows are dropped on arrival: below the aggregation the shuffle of pieces is found to be one and used again.
+    cut = _by_key(keyed.select("d1", "d2", "text")).join(before, ["d1", "d2"])
+    given = _by_key(cut.select(F.col("p1").alias("d1"), F.col("p2").alias("d2"), F.left("text", "half").alias("given"))).dropDuplicates(["d1", "d2"])
     own = F.char_length("text")
     both = _texts(keyed).join(given, ["d1", "d2"])
-    both = both.select("d1", "d2", "text", F.concat(F.left("text", own - F.floor(own / 2).cast("int")), "given").alias("edited"))
+    both = both.select("d1", "d2", F.concat(F.left("text", own - F.floor(own / 2).cast("int")), "given").alias("edited"))
     facts = both.select("d1", "d2", F.sha2("edited", 256).alias("edited_sha256"))
-    versions = both.select("d1", "d2", F.posexplode(F.array("text", "edited")).alias("kind", "own"))
-    # Stored, so that it is drawn once and is one broadcast for both joins below.
+    # Stored, so that it is drawn once and is one broadcast for both sketches below.
     frequent = stored(_frequent(keyed, samples), "frequent")
-    sketches = _sketches(versions, ["d1", "d2", "kind"], "own", samples, frequent)
-    per_doc = sketches.groupBy("d1", "d2").agg(
-        F.max(F.when(F.col("kind") == 0, F.col("signature"))).alias("signature"),
-        F.max(F.when(F.col("kind") == 1, F.col("signature"))).alias("edited_signature"),
+    edited = _sketches(both, ["d1", "d2"], "edited", samples, frequent).withColumnRenamed("signature", "edited_signature")
+    # A text's signature is drawn once, for its own document and for the one before.
+    drawn = _sketches(_texts(keyed), ["d1", "d2"], "text", samples, frequent).join(before.drop("half"), ["d1", "d2"])
+    places = F.array(F.struct("d1", "d2", F.lit(False).alias("ahead")), F.struct(F.col("p1").alias("d1"), F.col("p2").alias("d2"), F.lit(True).alias("ahead")))
+    sent = _by_key(drawn.select(F.explode(places).alias("place"), "signature").select("place.*", "signature"))
+    signatures = sent.groupBy("d1", "d2").agg(
+        F.max(F.when(~F.col("ahead"), F.col("signature"))).alias("signature"),
+        F.max(F.when(F.col("ahead"), F.col("signature"))).alias("next_signature"),
     )
-    known = facts.join(per_doc, ["d1", "d2"]).join(following, ["d1", "d2"])
-    # A signature goes to the document before: the text's is drawn again for it, which is less than to store them all.
-    own = _sketches(_texts(keyed), ["d1", "d2"], "text", samples, frequent)
-    after = own.join(before.drop("half"), ["d1", "d2"]).select(F.col("p1").alias("d1"), F.col("p2").alias("d2"), F.col("signature").alias("next_signature"))
-    return known.join(after, ["d1", "d2"]).drop("d1", "d2", "n1", "n2")
+    known = facts.join(edited, ["d1", "d2"]).join(signatures, ["d1", "d2"]).join(following, ["d1", "d2"])
+    return known.select("edited_sha256", "signature", "edited_signature", "doc_id", "n_chars", "next_signature")
