@@ -64,9 +64,10 @@ def _joined(parts: DataFrame, keys: list[str], own: Column, samples: int) -> Dat
 
 def _weights(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     """(keys, h, w): the hash of each word in a text, in lower case, and how often it occurs."""
-    words = F.array_remove(F.split(F.lower(text), r"\s+"), "")
-    words = F.when(F.size(words) > 0, words).otherwise(F.array(F.lit("")))
-    terms = rows.select(*keys, F.explode(words).alias("term"))
+    # A column of its own: within explode, a text would be split for its size and again for its words.
+    split = rows.select(*keys, F.array_remove(F.split(F.lower(text), r"\s+"), "").alias("words"))
+    words = F.when(F.size("words") > 0, F.col("words")).otherwise(F.array(F.lit("")))
+    terms = split.select(*keys, F.explode(words).alias("term"))
     weights = terms.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("w"))
     return weights.select(*keys, F.xxhash64("term").alias("h"), "w")
 
